@@ -1,0 +1,2 @@
+"""Empty on purpose: every input of this domain is a daily batch table, so there is no
+stream operator to provide (see the README)."""
