@@ -66,6 +66,13 @@ def mean(total: Column | str, count: Column | str) -> Column:
                         F.col(count).cast("double") if isinstance(count, str) else count.cast("double"))
 
 
+def sample_deviation(total: str, squares: str, count: str) -> Column:
+    """Sample standard deviation from exact whole-number sums; NULL below two values."""
+    n, s = wide(count), wide(total)
+    spread = (n * wide(squares) - s * s).cast("double")
+    return F.when(F.col(count) > 1, F.sqrt(spread / (n * (n - 1)).cast("double")))
+
+
 def flag_count(flag: Column | str) -> Column:
     """Number of rows on which a boolean is true (0, never NULL, for a non-empty group)."""
     return F.count_if(F.col(flag) if isinstance(flag, str) else flag)

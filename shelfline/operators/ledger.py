@@ -160,3 +160,13 @@ def ledger_rollup(inventory: DataFrame) -> DataFrame:
         F.sum("days_of_supply").alias("days_of_supply_sum"),
         F.sum("carrying_cost_daily").alias("carrying_cost"),
     )
+
+
+def triggered_orders_rollup(orders: DataFrame) -> DataFrame:
+    """Triggered orders added up per supplier and month of expected delivery."""
+    return orders.groupBy("supplier_id", F.trunc("expected_delivery_date", "MM").alias("month")).agg(
+        F.count("order_id").alias("orders"),
+        F.sum("order_qty").alias("order_qty"),
+        F.min("order_date").alias("first_order_date"),
+        F.max("order_id").alias("last_order_id"),
+    )

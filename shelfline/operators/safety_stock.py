@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import labels
-from shelfline.functions.numeric import percent, quotient, wide
+from shelfline.functions.numeric import percent, quotient, sample_deviation, wide
 from shelfline.operators.overstock import days_of_supply
 from shelfline.plans.facts import joined_rows, or_zero, stock_and_sales_by_sku, with_products
 from shelfline.star import Star
 
 
-def _sample_deviation(total: str, squares: str, count: str) -> Column:
-    """Sample standard deviation from exact integer sums; NULL below two values."""
-    n, s = wide(count), wide(total)
-    spread = (n * wide(squares) - s * s).cast("double")
-    return F.when(F.col(count) > 1, F.sqrt(spread / (n * (n - 1)).cast("double")))
-
-
 def safety_stock_by_sku(star: Star) -> DataFrame:
     status = (
         F.when(F.col("stockout_days") > labels.HIGH_STOCKOUT_DAYS, labels.SAFETY_TOO_LOW)
@@ -47,7 +40,7 @@ def safety_stock_by_sku(star: Star) -> DataFrame:
 
 
 def inadequate_safety_stock(star: Star, min_days: int = 20, top: int = 30) -> DataFrame:
-    deviation = _sample_deviation("units_sum", "units_squares", "units_n")
+    deviation = sample_deviation("units_sum", "units_squares", "units_n")
     return (
         with_products(
             stock_and_sales_by_sku(star.inventory, star.sales), star.products,

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfline.operators import (
-    exceptions, overstock, parameters, safety_stock, service_level, stockouts, suppliers, turns,
+    alerts, exceptions, forecasting, ledger, marts, overstock, parameters, quality, safety_stock, scenarios,
+    segments, service_level, stockouts, suppliers, turns,
 )
 from shelfline.star import Star
 
 Report = Callable[[Star], DataFrame]
 
-SQL_REPORTS: dict[str, Report] = {
+INVENTORY_REPORTS: dict[str, Report] = {
     "instock_by_sku": service_level.instock_by_sku,
     "instock_by_category": service_level.instock_by_category,
     "instock_by_month": service_level.instock_by_month,
@@ -48,3 +50,108 @@ SQL_REPORTS: dict[str, Report] = {
     "inadequate_safety_stock": safety_stock.inadequate_safety_stock,
     "excess_safety_stock": safety_stock.excess_safety_stock,
 }
+
+
+def _alerts(star: Star) -> DataFrame:
+    """All alerts, stamped with the last inventory day."""
+    as_of = star.inventory.agg(F.max("date")).scalar().cast("timestamp")
+    return alerts.detect_alerts(star, as_of=as_of)
+
+
+def _with_alerts(star: Star) -> Star:
+    return star.with_derived(alerts=_alerts(star))
+
+
+def _quality(star: Star, years: tuple[int, int]) -> DataFrame:
+    names = ("products", "suppliers", "sales", "inventory", "orders")
+    return quality.validate({name: getattr(star, name) for name in names}, years=years)
+
+
+def _heatmap(star: Star) -> DataFrame:
+    return marts.stockout_heatmap(star, marts.months_between("1995-01", "2001-12"))
+
+
+LEDGER_REPORTS: dict[str, Report] = {
+    "ledger_rollup": lambda s: ledger.ledger_rollup(s.inventory),
+    "demand_on_calendar": lambda s: ledger.demand_on_calendar(s.products, s.sales)
+    .groupBy("date").agg(F.sum("units_sold").alias("units_sold"), F.count("sku_id").alias("skus")),
+    "triggered_orders_rollup": lambda s: ledger.triggered_orders_rollup(
+        ledger.triggered_orders(s.inventory, s.products, s.suppliers)
+    ),
+    "data_quality": lambda s: _quality(s, (1995, 2001)),
+}
+
+MART_REPORTS: dict[str, Report] = {
+    "kpi_summary": marts.kpi_summary,
+    "kpi_summary_with_value": lambda s: marts.kpi_summary(s, include_inventory_value=True),
+    "kpi_strip": lambda s: marts.kpi_strip(s, _alerts(s)),
+    "monthly_sales": marts.monthly_sales,
+    "inventory_health_rollup": marts.inventory_health_rollup,
+    "daily_health": marts.daily_health,
+    "sales_detail": marts.sales_detail,
+    "daily_sales_by_category": marts.daily_sales_by_category,
+    "monthly_trend_by_category": marts.monthly_trend_by_category,
+    "top_products": marts.top_products,
+    "top_ten_products": lambda s: marts.top_products(s, 10),
+    "supplier_scorecard": suppliers.supplier_scorecard,
+    "monthly_supplier_performance": suppliers.monthly_supplier_performance,
+    "contract_rates": suppliers.contract_rates,
+    "exception_mart": lambda s: marts.exception_mart(_with_alerts(s)),
+    "exception_mart_without_alerts": marts.exception_mart,
+    "category_totals": marts.category_totals,
+    "monthly_instock_by_category": marts.monthly_instock_by_category,
+    "daily_instock_by_category": marts.daily_instock_by_category,
+    "stockout_heatmap": _heatmap,
+    "alert_counts": lambda s: marts.alert_counts(_alerts(s)),
+}
+
+ALERT_REPORTS: dict[str, Report] = {
+    "alerts": _alerts,
+    "consecutive_stockout_alerts": lambda s: alerts.stockout_alerts(s.inventory, s.products, consecutive=True),
+    "alert_summary": lambda s: alerts.alert_summary(_alerts(s)),
+    "urgent_alerts": lambda s: alerts.urgent_alerts(_alerts(s)),
+}
+
+SEGMENT_REPORTS: dict[str, Report] = {
+    "sku_features": segments.sku_features,
+    "scaled_features": lambda s: segments.scale_features(segments.sku_features(s)).select(
+        "sku_id", *[f"z_{c}" for c in segments.labels.CLUSTER_FEATURES]
+    ),
+    "revenue_quartiles": segments.revenue_quartiles,
+    "choose_k": segments.choose_k,
+}
+
+# Reports on a star that carries a segmentation.
+CLUSTER_REPORTS: dict[str, Report] = {
+    "sku_clusters": lambda s: s.clusters,
+    "cluster_display": lambda s: marts.cluster_display(s.clusters),
+    "cluster_summary": lambda s: segments.cluster_summary(s.clusters),
+    "segment_descriptions": lambda s: segments.describe_segments(s.clusters),
+}
+
+SCENARIO_REPORTS: dict[str, Report] = {
+    "demand_stats": scenarios.demand_stats,
+    "reorder_point_grid": scenarios.reorder_point_grid,
+    "safety_stock_change": scenarios.safety_stock_change,
+    "lead_time_change": scenarios.lead_time_change,
+    "best_reorder_point": scenarios.best_reorder_point,
+    "demand_change": scenarios.demand_change,
+    "scenario_report": scenarios.scenario_report,
+}
+
+# Reports that need dense daily series; they run on sales at a coarser grain.
+SERIES_REPORTS: dict[str, Report] = {
+    "demand_spikes": lambda s: alerts.demand_spike_alerts(s.sales, s.products),
+    "filled_series": lambda s: forecasting.filled_series(s.sales),
+    "observed_series": lambda s: forecasting.observed_series(s.sales),
+    "model_evaluation": forecasting.evaluate_models,
+    "best_models": forecasting.best_models,
+    "forecasts": forecasting.forecast_skus,
+    "forecasts_with_gaps_filled": lambda s: forecasting.forecast_skus(s, fill_gaps=True),
+    "model_usage": lambda s: forecasting.model_usage(forecasting.forecast_skus(s)),
+    "forecast_summaries": forecasting.forecast_summaries,
+}
+
+STAR_REPORTS: dict[str, Report] = {
+    **INVENTORY_REPORTS, **LEDGER_REPORTS, **MART_REPORTS, **ALERT_REPORTS, **SEGMENT_REPORTS, **SCENARIO_REPORTS,
+}
