@@ -1,7 +1,7 @@
 """Plain SQL twins of the registered queries, for DuckDB on the same parquet files."""
 
-from oracle import reports
+from oracle import marts, models, reports
 
 
 def all_queries() -> dict[str, str]:
-    return {**reports.build()}
+    return {**reports.build(), **marts.build(), **models.build()}

@@ -66,6 +66,15 @@ def mean(total: Column | str, count: Column | str) -> Column:
                         F.col(count).cast("double") if isinstance(count, str) else count.cast("double"))
 
 
+def moments(column: str, name: str) -> list[Column]:
+    """Exact sum, count and sum of squares of a whole-number column."""
+    value = F.col(column)
+    square = value.cast("decimal(18,0)") * value.cast("decimal(18,0)")
+    return [
+        F.sum(column).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n"), F.sum(square).alias(f"{name}_squares"),
+    ]
+
+
 def sample_deviation(total: str, squares: str, count: str) -> Column:
     """Sample standard deviation from exact whole-number sums; NULL below two values."""
     n, s = wide(count), wide(total)

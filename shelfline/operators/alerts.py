@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline import labels
-from shelfline.functions.numeric import mean
+from shelfline.functions.numeric import mean, moments, sample_deviation
 from shelfline.operators.stockouts import stockout_runs
 from shelfline.schemas import ALERTS
 from shelfline.star import Star
@@ -139,7 +139,9 @@ def demand_spike_alerts(sales: DataFrame, products: DataFrame, t: Thresholds = T
     stats = (
         sales.where(F.col("sku_id").isNotNull())
         .groupBy("sku_id")
-        .agg(F.avg("units_sold").alias("avg"), F.stddev_samp("units_sold").alias("std"))
+        .agg(*moments("units_sold", "units"))
+        .select("sku_id", mean("units_sum", "units_n").alias("avg"),
+                sample_deviation("units_sum", "units_squares", "units_n").alias("std"))
         .where("std > 0")
     )
     return (

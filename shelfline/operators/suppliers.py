@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.numeric import mean, percent, quotient
+from shelfline.functions.numeric import mean, percent, quotient, sample_deviation
 from shelfline.plans.facts import joined_rows, month_of, or_zero, orders_by
 from shelfline.star import Star
 
@@ -18,6 +18,10 @@ def _by_supplier(star: Star) -> DataFrame:
     return orders_by(star.orders.where(F.col("supplier_id").isNotNull()), "supplier_id")
 
 
+def _lead_deviation() -> Column:
+    return sample_deviation("lead_sum", "lead_squares", "lead_n")
+
+
 def _on_time_percent(digits: int) -> Column:
     return percent(or_zero("on_time_rows"), joined_rows("order_rows"), digits)
 
@@ -31,7 +35,7 @@ def supplier_performance(star: Star) -> DataFrame:
             F.col("avg_lead_time").alias("expected_lead_time"),
             F.col("lead_time_variance").alias("expected_variance"),
             quotient("lead_sum", "lead_n", 1).alias("actual_avg_lead_time"),
-            F.round("lead_stddev", 2).alias("actual_lead_time_stddev"),
+            F.round(_lead_deviation(), 2).alias("actual_lead_time_stddev"),
             F.col("fill_rate").alias("expected_fill_rate"),
             quotient("fill_sum", "fill_n", 4, scale=4).alias("actual_fill_rate"),
             F.col("on_time_delivery_rate").alias("expected_otd"),
@@ -76,7 +80,7 @@ def late_deliveries(star: Star, top: int = 50) -> DataFrame:
 
 
 def reliability_score(star: Star) -> DataFrame:
-    spread = F.col("lead_stddev") / F.nullif(mean("lead_sum", "lead_n"), F.lit(0.0)) * 100
+    spread = _lead_deviation() / F.nullif(mean("lead_sum", "lead_n"), F.lit(0.0)) * 100
     on_time = mean(or_zero("on_time_rows") * 100, joined_rows("order_rows"))
     score = (
         mean("fill_sum", "fill_n") * 100 * 0.3
@@ -115,7 +119,7 @@ def delivery_scorecard(star: Star) -> DataFrame:
 def supplier_scorecard(star: Star) -> DataFrame:
     """Scorecard of the suppliers that have orders."""
     lead, on_time = mean("lead_sum", "lead_n"), mean("on_time_rows", "order_rows")
-    steadiness = 1 - F.coalesce("lead_stddev", F.lit(0.0)) / F.when(lead == 0, 1.0).otherwise(lead)
+    steadiness = 1 - F.coalesce(_lead_deviation(), F.lit(0.0)) / F.when(lead == 0, 1.0).otherwise(lead)
     fill = mean("fill_sum", "fill_n")
     return (
         _by_supplier(star)
@@ -125,7 +129,7 @@ def supplier_scorecard(star: Star) -> DataFrame:
             F.col("order_ids").alias("total_orders"),
             F.col("order_qty").alias("total_qty"),
             lead.alias("actual_avg_lead_time"),
-            F.col("lead_stddev").alias("lead_time_std"),
+            _lead_deviation().alias("lead_time_std"),
             fill.alias("avg_fill_rate"),
             on_time.alias("on_time_rate"),
             mean("late_sum", "late_n").alias("avg_days_late"),

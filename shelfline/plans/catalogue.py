@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline import labels
 from shelfline.operators import (
     alerts, exceptions, forecasting, ledger, marts, overstock, parameters, quality, safety_stock, scenarios,
     segments, service_level, stockouts, suppliers, turns,
@@ -52,6 +53,11 @@ INVENTORY_REPORTS: dict[str, Report] = {
 }
 
 
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Six decimals: beyond them, sums of doubles depend on the order of the rows."""
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
 def _alerts(star: Star) -> DataFrame:
     """All alerts, stamped with the last inventory day."""
     as_of = star.inventory.agg(F.max("date")).scalar().cast("timestamp")
@@ -114,8 +120,8 @@ ALERT_REPORTS: dict[str, Report] = {
 
 SEGMENT_REPORTS: dict[str, Report] = {
     "sku_features": segments.sku_features,
-    "scaled_features": lambda s: segments.scale_features(segments.sku_features(s)).select(
-        "sku_id", *[f"z_{c}" for c in segments.labels.CLUSTER_FEATURES]
+    "scaled_features": lambda s: _rounded(
+        segments.scale_features(segments.sku_features(s)), *[f"z_{c}" for c in labels.CLUSTER_FEATURES]
     ),
     "revenue_quartiles": segments.revenue_quartiles,
     "choose_k": segments.choose_k,
@@ -144,8 +150,8 @@ SERIES_REPORTS: dict[str, Report] = {
     "demand_spikes": lambda s: alerts.demand_spike_alerts(s.sales, s.products),
     "filled_series": lambda s: forecasting.filled_series(s.sales),
     "observed_series": lambda s: forecasting.observed_series(s.sales),
-    "model_evaluation": forecasting.evaluate_models,
-    "best_models": forecasting.best_models,
+    "model_evaluation": lambda s: _rounded(forecasting.evaluate_models(s), "mae", "rmse"),
+    "best_models": lambda s: _rounded(forecasting.best_models(s), "model_mae"),
     "forecasts": forecasting.forecast_skus,
     "forecasts_with_gaps_filled": lambda s: forecasting.forecast_skus(s, fill_gaps=True),
     "model_usage": lambda s: forecasting.model_usage(forecasting.forecast_skus(s)),

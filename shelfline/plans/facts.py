@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.numeric import flag_count, wide
+from shelfline.functions.numeric import flag_count, moments, wide
 
 
 def month_of(day: str) -> Column:
@@ -41,10 +41,7 @@ def inventory_by_sku(inventory: DataFrame) -> DataFrame:
 def sales_by(sales: DataFrame, *keys: Column | str) -> DataFrame:
     return sales.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("sales_rows"),
-        F.sum("units_sold").alias("units_sum"),
-        F.count("units_sold").alias("units_n"),
-        F.sum(F.col("units_sold").cast("decimal(18,0)") * F.col("units_sold").cast("decimal(18,0)"))
-        .alias("units_squares"),
+        *moments("units_sold", "units"),
         F.sum("revenue").alias("revenue_sum"),
     )
 
@@ -56,14 +53,11 @@ def sales_by_sku(sales: DataFrame) -> DataFrame:
 def orders_by(orders: DataFrame, *keys: Column | str) -> DataFrame:
     on_time = F.col("actual_delivery_date") <= F.col("expected_delivery_date")
     late = F.datediff("actual_delivery_date", "expected_delivery_date")
-    lead = F.col("lead_time_actual")
     return orders.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("order_rows"),
         F.count("order_id").alias("order_ids"),
         F.sum("order_qty").alias("order_qty"),
-        F.sum(lead).alias("lead_sum"),
-        F.count(lead).alias("lead_n"),
-        F.stddev_samp(lead).alias("lead_stddev"),
+        *moments("lead_time_actual", "lead"),
         F.sum("fill_rate_actual").alias("fill_sum"),
         F.count("fill_rate_actual").alias("fill_n"),
         F.count_if(on_time).alias("on_time_rows"),
