@@ -89,12 +89,12 @@ BEST = """
     CASE WHEN instock_rate >= 95 THEN total_carrying_cost ELSE -instock_rate END, CAST(scenario AS DOUBLE)) = 1)
 """.replace("{multipliers}", ", ".join(f"'{m}'" for m in MULTIPLIERS))
 PROJECTION = f"""
-, projected AS (SELECT p.sku_id, round_even(mean, 2) AS current_avg_demand,
-    round_even(mean * CAST(1.3 AS DOUBLE), 2) AS projected_avg_demand, safety_stock, reorder_point, lead_time_days,
+, projected AS (SELECT p.sku_id, {half_even('100 * units', 'n')} / 100 AS current_avg_demand,
+    {half_even('130 * units', 'n')} / 100 AS projected_avg_demand, safety_stock, reorder_point, lead_time_days,
     CAST({_scaled('safety_stock', '1.3')} AS INTEGER) AS recommended_safety_stock,
     CAST({_scaled('reorder_point', '1.3')} AS INTEGER) AS recommended_reorder_point,
     'Increase safety stock and reorder point proportionally' AS recommendation
-  FROM products p JOIN (SELECT sku_id, CAST(sum(units_sold) AS DOUBLE) / count(units_sold) AS mean FROM sales GROUP BY 1) m
+  FROM products p JOIN (SELECT sku_id, CAST(sum(units_sold) AS BIGINT) AS units, count(units_sold) AS n FROM sales GROUP BY 1) m
     ON m.sku_id = p.sku_id)
 """
 

@@ -225,8 +225,10 @@ def reorder_point_grid(star: Star) -> DataFrame:
 
 def _demand_projection(percent: float) -> dict[str, Column]:
     return {
-        "current_avg_demand": F.bround("avg_demand", 2),
-        "projected_avg_demand": F.bround(F.col("avg_demand") * (1 + percent / 100), 2),
+        "current_avg_demand": half_even(F.col("units_sum"), F.col("units_n"), 18, 2),
+        "projected_avg_demand": half_even(
+            F.col("units_sum") * round(10000 + percent * 100), F.col("units_n") * 10000, 18, 2
+        ),
         "recommended_safety_stock": _scaled("safety_stock", percent),
         "recommended_reorder_point": _scaled("reorder_point", percent),
         "recommendation": F.lit(labels.RECOMMEND_INCREASE if percent > 0 else labels.RECOMMEND_REDUCE),
@@ -237,7 +239,7 @@ def demand_change(star: Star, percent: float = 30) -> DataFrame:
     """Parameters scaled with demand; a projection of the demand statistics, no replay."""
     return (
         star.products.select("sku_id", "safety_stock", "reorder_point")
-        .join(demand_stats(star), "sku_id")
+        .join(sales_by_sku(star.sales), "sku_id")
         .withColumns(_demand_projection(percent))
         .select(
             "sku_id", F.lit(f"Demand Change: {percent:+}%").alias("scenario"),
@@ -255,7 +257,7 @@ def scenario_report(star: Star, safety_percent: float = 20, lead_days: int = 3,
         star, policy("current"), safety_stock_policy(safety_percent), lead_time_policy(lead_days), *reorder_policies()
     )
     both = (
-        runs.join(demand_stats(star), "sku_id")
+        runs.join(sales_by_sku(star.sales), "sku_id")
         .withColumns(_demand_projection(demand_percent))
         .withColumn("best", _best_run(F.slice("runs", 4, len(labels.ROP_MULTIPLIERS)), target)["run"])
     )

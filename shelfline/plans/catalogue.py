@@ -158,6 +158,18 @@ SERIES_REPORTS: dict[str, Report] = {
     "forecast_summaries": forecasting.forecast_summaries,
 }
 
-STAR_REPORTS: dict[str, Report] = {
-    **INVENTORY_REPORTS, **LEDGER_REPORTS, **MART_REPORTS, **ALERT_REPORTS, **SEGMENT_REPORTS, **SCENARIO_REPORTS,
+_ALL = INVENTORY_REPORTS | MART_REPORTS | ALERT_REPORTS | SEGMENT_REPORTS | SCENARIO_REPORTS
+
+# Reports that read sales, orders and dimensions only, and those that read the inventory.
+FLOW_REPORTS: dict[str, Report] = {
+    name: _ALL[name]
+    for name in (
+        "supplier_performance", "supplier_by_month", "late_deliveries", "reliability_score", "delivery_scorecard",
+        "reorder_point_evaluation", "monthly_sales", "sales_detail", "daily_sales_by_category",
+        "monthly_trend_by_category", "top_products", "top_ten_products", "supplier_scorecard",
+        "monthly_supplier_performance", "contract_rates", "category_totals", "revenue_quartiles", "demand_stats",
+        "demand_change", "reorder_point_grid", "safety_stock_change", "lead_time_change", "best_reorder_point",
+        "scenario_report",
+    )
 }
+STOCK_REPORTS: dict[str, Report] = {name: report for name, report in _ALL.items() if name not in FLOW_REPORTS}
