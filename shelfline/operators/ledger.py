@@ -55,29 +55,32 @@ def build_ledger(products: DataFrame, sales: DataFrame, receipts: DataFrame) ->
     """
     first_day, last_day = _sales_bounds(sales)
     zero = F.lit(0).cast("long")
-    movements = (
-        calendar(products.select("sku_id"), first_day, last_day)
-        .select("sku_id", "date", F.lit(True).alias("listed"), zero.alias("sold"), zero.alias("received"))
-        .unionByName(
-            daily_demand(sales).select(
-                "sku_id", "date", F.lit(False).alias("listed"),
-                F.col("units_sold").cast("long").alias("sold"), zero.alias("received"),
-            )
-        )
-        .unionByName(
-            receipts.groupBy("sku_id", "date")
-            .agg(F.sum("received").cast("long").alias("received"))
-            .select("sku_id", "date", F.lit(False).alias("listed"), zero.alias("sold"), "received")
+    tasks = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def moves(df: DataFrame, listed: bool, sold: Column, received: Column) -> DataFrame:
+        return df.select(
+            "sku_id", F.unix_date("date").alias("day"), F.lit(listed).alias("listed"),
+            sold.cast("long").alias("sold"), received.cast("long").alias("received"),
         )
-        .groupBy("sku_id", "date")
-        .agg(F.max("listed").alias("listed"), F.sum("sold").alias("sold"), F.sum("received").alias("received"))
-        .where("listed")
+
+    # All three parts are partitioned on SKU before they meet, so the calendar, by far the
+    # largest of them, is produced where the windows need it and is never shuffled.
+    spine = products.select("sku_id").repartition(tasks, "sku_id").withColumn(
+        "date", F.explode(F.sequence(first_day, last_day))
+    )
+    received = receipts.groupBy("sku_id", "date").agg(F.sum("received").alias("received"))
+    movements = (
+        moves(spine, True, zero, zero)
+        .unionByName(moves(daily_demand(sales).repartition(tasks, "sku_id"), False, F.col("units_sold"), zero))
+        .unionByName(moves(received.repartition(tasks, "sku_id"), False, zero, F.col("received")))
     )
-    by_day = Window.partitionBy("sku_id").orderBy("date")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_day = Window.partitionBy("sku_id").orderBy("day")
+    so_far = by_day.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     balances = (
         movements.withColumn("net", F.sum(F.col("received") - F.col("sold")).over(so_far))
         .withColumn("lowest", F.min("net").over(so_far))
+        .withColumn("units_sold", F.sum("sold").over(Window.partitionBy("sku_id", "day")))
+        .where("listed")
         .withColumn("before", F.lag(F.struct("net", "lowest")).over(by_day))
     )
     start = F.call_function("div", F.col("max_stock_level") * START_SHARE[0], F.lit(START_SHARE[1]))
@@ -95,10 +98,10 @@ def build_ledger(products: DataFrame, sales: DataFrame, receipts: DataFrame) ->
             "sku_id",
         )
         .select(
-            "date",
+            F.date_from_unix_date("day").alias("date"),
             "sku_id",
             level(F.col("net"), F.col("lowest")).cast("int").alias("on_hand_qty"),
-            F.col("sold").cast("int").alias("units_sold"),
+            F.col("units_sold").cast("int").alias("units_sold"),
             (F.coalesce(level(F.col("before.net"), F.col("before.lowest")), start) <= F.col("reorder_point"))
             .alias("reorder_triggered"),
             "unit_price",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfline import labels
 from shelfline.functions.numeric import half_even, mean, sample_deviation
-from shelfline.operators.ledger import demand_on_calendar
+from shelfline.operators.ledger import daily_demand
 from shelfline.plans.facts import sales_by_sku
 from shelfline.star import Star
 
@@ -32,16 +32,22 @@ def demand_stats(star: Star) -> DataFrame:
 
 
 def demand_series(star: Star) -> DataFrame:
-    """``(sku_id, units)``: units per calendar day, first to last, for SKUs that have sales.
+    """One row per SKU with sales: ``day`` (0 for the first day of the sales calendar) and
+    ``units`` of its selling days as arrays, and the length of the calendar as ``days``.
 
-    The array has one entry per day of the sales calendar, whatever the number of sales rows.
+    Sales are added up per day first, so the arrays have at most one entry per calendar day,
+    whatever the number of sales rows.
     """
-    selling = star.products.join(star.sales.select("sku_id").distinct(), "sku_id", "left_semi")
+    first, last = star.sales.agg(F.min("date")).scalar(), star.sales.agg(F.max("date")).scalar()
     return (
-        demand_on_calendar(selling, star.sales)
+        daily_demand(star.sales.where(F.col("sku_id").isNotNull()))
+        .withColumn("day", F.datediff("date", first))
         .groupBy("sku_id")
-        .agg(F.array_sort(F.collect_list(F.struct("date", F.col("units_sold").cast("int").alias("units")))).alias("days"))
-        .select("sku_id", F.col("days.units").alias("units"))
+        .agg(F.collect_list(F.struct("day", F.coalesce("units_sold", F.lit(0)).cast("int").alias("units"))).alias("sold"))
+        .select(
+            "sku_id", F.col("sold.day").alias("day"), F.col("sold.units").alias("units"),
+            (F.datediff(last, first) + 1).alias("days"),
+        )
     )
 
 
@@ -56,8 +62,10 @@ def _replay(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
     Each day: receive what is due, serve demand from stock, count, then order when stock is at
     or below the reorder point and nothing is outstanding.
     """
-    for units, safety, reorder, lead, quantity in batches:
-        demand = np.stack(units.to_numpy()).astype(np.int64)
+    for sold_on, units, days, safety, reorder, lead, quantity in batches:
+        demand = np.zeros((len(days), days.max()), np.int64)
+        for row, (on, sold) in enumerate(zip(sold_on, units)):
+            demand[row, on] = sold
         safety, reorder, lead, quantity = (
             np.stack(s.to_numpy()).astype(np.int64) for s in (safety, reorder, lead, quantity)
         )
@@ -110,9 +118,9 @@ def replay_policies(star: Star, *policies: Column) -> DataFrame:
     )
     replayed = demand_series(star).join(parameters, "sku_id").withColumn(
         "out",
-        replay("units", "policies.safety_stock", "policies.reorder_point", "policies.lead_time", "policies.order_qty"),
+        replay("day", "units", "days", "policies.safety_stock", "policies.reorder_point", "policies.lead_time", "policies.order_qty"),
     )
-    days = F.size("units")
+    days = F.col("days")
 
     def run(p: Column, i: Column) -> Column:
         def out(field: str) -> Column:
@@ -131,7 +139,7 @@ def replay_policies(star: Star, *policies: Column) -> DataFrame:
             out("orders_placed").alias("orders_placed"),
         )
 
-    return replayed.withColumn("runs", F.transform("policies", run)).drop("units", "policies", "out")
+    return replayed.withColumn("runs", F.transform("policies", run)).drop("day", "units", "days", "policies", "out")
 
 
 def _scaled(column: str, percent: float) -> Column:
