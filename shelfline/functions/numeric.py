@@ -26,7 +26,7 @@ def _halves(num: Column, den: Column, digits: int) -> tuple[Column, Column]:
 
 
 def _as_decimal(units: Column, digits: int) -> Column:
-    return units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))
+    return units.cast("decimal(30,0)") * F.lit(Decimal(1).scaleb(-digits))
 
 
 def quotient(num: Column | str, den: Column | str, digits: int, scale: int = 0) -> Column:
@@ -37,7 +37,9 @@ def quotient(num: Column | str, den: Column | str, digits: int, scale: int = 0)
     num = F.col(num) if isinstance(num, str) else num
     den = F.col(den) if isinstance(den, str) else den
     n, d = _halves(num * 10**scale if scale else num, wide(den) * 10**scale, digits)
-    units = F.call_function("div", F.abs(n) * 2 + F.abs(d), F.abs(d) * 2)
+    doubled, twice = F.abs(n) * 2 + F.abs(d), F.abs(d) * 2
+    # Exact division of a multiple: the div operator would return 64 bits and wrap around.
+    units = (doubled - doubled % twice) / twice
     return _as_decimal(F.when((n < 0) != (d < 0), -units).otherwise(units), digits)
 
 
