@@ -104,3 +104,26 @@ def test_month_pruning(spark, make_star):
 
 def test_shared_folder_is_the_named_one(spark):
     assert new_folder(spark, "x").startswith(shared_folder(spark))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_export_of_derived_tables_and_marts(spark, make_star, fmt):
+    from shelfline.plans.export import derive_tables, export, mart_tables
+
+    products = [product(f"k{i}") for i in range(6)]
+    star = make_star(
+        products, [supplier("s1")], [sale(p["sku_id"], n, i * 9 + n % 4) for i, p in enumerate(products) for n in range(64)],
+        [snapshot(p["sku_id"], n, 0 if i == 0 else 5) for i, p in enumerate(products) for n in range(64)],
+        [order("o", 60, 4, sku="k1")],
+    )
+    folder = new_folder(spark, "test")
+    derived = derive_tables(star)
+    counts = {r.table_name: r.rows for r in export(derived, folder, fmt).collect()}
+    assert counts["sku_clusters"] == 6 and counts["forecasts"] == 6 * 30 and counts["alerts"] > 0
+    sinks.write_star(star, folder, fmt)
+    full = tables.read_star(spark, folder, fmt)
+    assert full.forecasts.count() == 180
+    marts_written = {r.table_name: r.rows for r in export(mart_tables(full), folder + "/marts", fmt).collect()}
+    assert marts_written["exception_dashboard"] == counts["alerts"] and marts_written["forecast_data"] == 180
+    assert marts_written["kpi_summary"] == 7 and "sku_clusters" in marts_written
+    assert "forecast_data" not in mart_tables(star)
