@@ -61,18 +61,31 @@ def stockout_by_category(star: Star) -> DataFrame:
 def stockout_runs(inventory: DataFrame) -> DataFrame:
     """Unbroken runs of stock-out days per SKU: ``(sku_id, stockout_start, stockout_end, consecutive_days)``.
 
-    A run is identified by how many in-stock rows precede it. Rows are first added up per SKU
-    and day, so the window sees at most one row per calendar day of a SKU.
+    A run is identified by how many in-stock rows precede it. In-stock rows are counted per SKU
+    and month first, which the map side does almost entirely; single days are then only looked
+    at in months that have a stock-out. There, rows are added up per SKU and day, so no window
+    sees more than one row per calendar day of a SKU.
     """
-    out = F.col("stockout_flag")
-    days = inventory.groupBy("sku_id", "date").agg(
-        F.count_if(~out).alias("covered"), F.count_if(out).alias("empty")
+    out, month = F.col("stockout_flag"), month_of("date").alias("month")
+    earlier = Window.partitionBy("sku_id").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    touched = (
+        inventory.groupBy("sku_id", month)
+        .agg(F.count_if(~out).alias("covered"), F.count_if(out).alias("empty"))
+        .withColumn("covered_before", F.coalesce(F.sum("covered").over(earlier), F.lit(0)))
+        .where("empty > 0")
+        .select("sku_id", "month", "covered_before")
+    )
+    days = (
+        inventory.select("sku_id", "date", month, "stockout_flag")
+        .join(touched, ["sku_id", "month"])
+        .groupBy("sku_id", "month", "covered_before", "date")
+        .agg(F.count_if(~out).alias("covered"), F.count_if(out).alias("empty"))
     )
-    preceding = Window.partitionBy("sku_id").orderBy("date").rowsBetween(
+    so_far = Window.partitionBy("sku_id", "month").orderBy("date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        days.withColumn("run", F.sum("covered").over(preceding))
+        days.withColumn("run", F.col("covered_before") + F.sum("covered").over(so_far))
         .where("empty > 0")
         .groupBy("sku_id", "run")
         .agg(

@@ -141,3 +141,28 @@ def test_empty_tables_give_empty_or_zero_reports(make_star):
     summary = catalogue.INVENTORY_REPORTS["exception_summary"](star).first()
     assert summary.priority_score is None and summary.recommended_action == labels.ACTION_OK
     assert DAY == day(0)
+
+
+def test_runs_across_months_and_gaps(make_star):
+    """Against the running count itself, on random days with holes, whole empty months included."""
+    import random
+
+    r = random.Random(9)
+    inventory, expected = [], []
+    for s in range(6):
+        runs, covered, empty_until = {}, 0, -1
+        for n in range(200):
+            if r.random() < 0.15:
+                continue
+            if r.random() < 0.02:
+                empty_until = n + r.choice([3, 70])
+            quantities = [0 if n < empty_until or r.random() < 0.2 else 9 for _ in range(r.choice([1, 1, 2]))]
+            covered += sum(q > 0 for q in quantities)
+            empty = sum(q == 0 for q in quantities)
+            if empty:
+                first, _, count = runs.get(covered, (day(n), None, 0))
+                runs[covered] = (first, day(n), count + empty)
+            inventory += [snapshot(f"k{s}", n, q) for q in quantities]
+        expected += [(f"k{s}", *run) for run in runs.values()]
+    got = stockouts.stockout_runs(make_star(inventory=inventory).inventory).collect()
+    assert sorted(map(tuple, got)) == sorted(expected) and max(e[3] for e in expected) > 40
