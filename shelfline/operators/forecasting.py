@@ -44,12 +44,13 @@ def observed_series(sales: DataFrame, min_rows: int = labels.MIN_SALES_ROWS, fil
         daily = filled_series(known).join(daily.select("sku_id", "date", "sales_rows"), ["sku_id", "date"], "left")
     whole = Window.partitionBy("sku_id")
     return (
-        daily.withColumns(
+        # The ordered window comes first: its sort also serves the others.
+        daily.withColumn("recency", F.row_number().over(whole.orderBy(F.desc("date"))))
+        .withColumns(
             {
                 "rows": F.sum("sales_rows").over(whole),
                 "points": F.count(F.lit(1)).over(whole),
                 "first_date": F.min("date").over(whole),
-                "recency": F.row_number().over(whole.orderBy(F.desc("date"))),
             }
         )
         .where(F.col("rows") >= min_rows)
@@ -130,19 +131,24 @@ def fit_models(series: DataFrame, hold_out: int = labels.HOLD_OUT) -> DataFrame:
         ).alias("tail"),
         F.array(*[F.sum(term) for term in terms]).alias("moments"),
     )
-    solve = F.pandas_udf(solve_regression, "array<double>")
-    state = F.struct(
-        "last_date", "first_date", "points", "levels", F.col("tail.units").alias("tail"), F.col("weights").alias("weights")
-    )
-    return (
-        fitted.withColumn("weights", solve("moments"))
-        .withColumn("state", state)
+    state = F.struct("last_date", "first_date", "points", "levels", F.col("tail.units").alias("tail"), "moments")
+    states = (
+        fitted.select("sku_id", "segment", state.alias("state"))
         .groupBy("sku_id")
         .agg(
             F.first(F.when(F.col("segment") == "train", F.col("state")), ignorenulls=True).alias("train"),
             F.first(F.when(F.col("segment") == "full", F.col("state")), ignorenulls=True).alias("full"),
         )
     )
+    # Solved last, on rows that hold a whole SKU: a Python stage drops the partitioning.
+    solve = F.pandas_udf(solve_regression, "array<double>")
+    weights = {
+        "train": solve(F.coalesce("train.moments", "full.moments")),
+        "full": solve("full.moments"),
+    }
+    return states.select(
+        "sku_id", *[F.col(s).withField("weights", w).dropFields("moments").alias(s) for s, w in weights.items()]
+    )
 
 
 def _moving_average(tail: Column, window: int, horizon: int) -> Column:
@@ -220,18 +226,18 @@ def evaluate_models(star: Star, min_rows: int = labels.MIN_SALES_ROWS, hold_out:
 def best_models(star: Star, min_rows: int = labels.MIN_SALES_ROWS, hold_out: int = labels.HOLD_OUT) -> DataFrame:
     scored = _evaluated(fit_models(observed_series(star.sales, min_rows), hold_out), hold_out)
     return (
-        scored.where(F.col("scores").isNotNull())
+        scored.where(F.col("full.points") > hold_out)
         .withColumn("best", _best(F.col("scores")))
         .select("sku_id", F.col("best.model").alias("model_used"), F.col("best.mae").alias("model_mae"))
     )
 
 
 def _forecast(fitted: DataFrame, horizon: int, hold_out: int) -> DataFrame:
-    """One row per SKU: the best model and its predictions; SKUs no model could be tested on are
-    left out."""
+    """One row per SKU: the best model and its predictions; SKUs no model could be tested on, for
+    want of rows before the hold-out, are left out."""
     return (
         _evaluated(fitted, hold_out)
-        .where(F.col("scores").isNotNull())
+        .where(F.col("full.points") > hold_out)
         .withColumn("best", _best(F.col("scores")))
         .withColumn("predicted", predictions(F.col("full"), horizon)[F.col("best.i")])
     )
