@@ -2,28 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder from ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or by ``setCheckpointDir``.
 
-    Where it is unset, a local-mode session gets a temporary folder of its own; a cluster must
-    name one, because a folder on one machine cannot be read by the others.
+    There is no default: a folder chosen here would be one machine's own, and the other machines
+    could not read it.
     """
-    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shelfline-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getConf().get(SETTING) or context.getCheckpointDir()
+    if not folder:
+        raise ValueError(f"set {SETTING} to a folder that every executor can reach")
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -31,7 +27,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, so that a lost executor costs a
+    read and not a recomputation. Parquet, so later steps read only the columns they use."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` computed once and read back from the shared folder, on any number of executors."""
     spark = df.sparkSession
     context = spark.sparkContext

@@ -19,9 +19,10 @@ DAY = dt.date(2024, 1, 1)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[4]", spark__ui__enabled="false", spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__ui__showConsoleProgress="false", spark__driver__memory="4g",
     )
     session.sparkContext.setLogLevel("ERROR")
