@@ -28,15 +28,15 @@ def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
         spark.conf.set(setting, rows)
 
 
-def map_rows(df: DataFrame, columns: list[str], schema: str, row: Callable[..., tuple]) -> DataFrame:
-    """One output row ``row(*values)`` for each input row, in Arrow batches."""
+def map_columns(df: DataFrame, columns: list[str], schema: str, make: Callable[..., list]) -> DataFrame:
+    """``make(*lists)`` turns the columns of a batch into rows, one list of tuples."""
     small_batches(df.sparkSession)
     fields = [part.strip().rsplit(" ", 1) for part in schema.split(",")]
     kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [row(*values) for values in zip(*(column.to_pylist() for column in batch.columns), strict=True)]
+            made = make(*(column.to_pylist() for column in batch.columns))
             values = list(zip(*made, strict=True)) if made else [()] * len(fields)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, kinds[kind]) for v, (_, kind) in zip(values, fields, strict=True)], [name for name, _ in fields]
@@ -45,6 +45,11 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, row: Callable[...,
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def map_rows(df: DataFrame, columns: list[str], schema: str, row: Callable[..., tuple]) -> DataFrame:
+    """One output row ``row(*values)`` for each input row."""
+    return map_columns(df, columns, schema, lambda *lists: [row(*values) for values in zip(*lists, strict=True)])
+
+
 def shingle_hashes(words: list[bytes], width: int, block: int = 1 << 16) -> Iterator[np.ndarray]:
     """XXH64 (seed 42) of every ``width``-word shingle joined by one blank, repeats included, in
     blocks. Fewer words make one shingle of all of them; no words make none."""
