@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import simhash
+from shelfline.llm import bpe, simhash, sketch
 from shelfline.llm.text import documents
 
 
@@ -14,5 +14,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op9_simhash": op9_simhash}
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.encoding_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.compare_with_next(documents(spark, sf_dir))
+
+
+QUERIES = {"op4_bpe": op4_bpe, "op7_sketch": op7_sketch, "op9_simhash": op9_simhash}
 SQL: dict[str, str] = {}
