@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, simhash, sketch
+from shelfline.llm import bpe, simhash, sketch, toxicity
 from shelfline.llm.text import documents
 
 
@@ -14,6 +14,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(*toxicity.training_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", toxicity.held_out_rows().alias("held_out"), "score", "predicted")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -24,5 +31,5 @@ def op7_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.compare_with_next(documents(spark, sf_dir))
 
 
-QUERIES = {"op4_bpe": op4_bpe, "op7_sketch": op7_sketch, "op9_simhash": op9_simhash}
+QUERIES = {"op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op7_sketch": op7_sketch, "op9_simhash": op9_simhash}
 SQL: dict[str, str] = {}
