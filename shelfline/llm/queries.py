@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, chat, rules, secrets, simhash, sketch, toxicity
+from shelfline.llm import bpe, chat, pii, rules, secrets, simhash, sketch, toxicity
 from shelfline.llm.text import documents
 
 
@@ -40,6 +40,10 @@ def op7_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.compare_with_next(documents(spark, sf_dir))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find_personal_data(documents(spark, sf_dir)))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(documents(spark, sf_dir)))
 
@@ -50,5 +54,5 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*counts, "rule")
 
 
-QUERIES = {"op1_chat": op1_chat, "op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op7_sketch": op7_sketch, "op8_secrets": op8_secrets, "op9_simhash": op9_simhash, "op10_rules": op10_rules}
+QUERIES = {"op1_chat": op1_chat, "op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op6_pii": op6_pii, "op7_sketch": op7_sketch, "op8_secrets": op8_secrets, "op9_simhash": op9_simhash, "op10_rules": op10_rules}
 SQL: dict[str, str] = {}
