@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, chat, pii, rules, secrets, simhash, sketch, toxicity
+from shelfline.llm import bpe, chat, pii, quality, rules, secrets, simhash, sketch, toxicity
 from shelfline.llm.text import documents
 
 
@@ -23,6 +23,10 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_digests(chat.format_conversations(turns.unionByName(hostile)))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.fit(*toxicity.training_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -54,5 +58,5 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*counts, "rule")
 
 
-QUERIES = {"op1_chat": op1_chat, "op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op6_pii": op6_pii, "op7_sketch": op7_sketch, "op8_secrets": op8_secrets, "op9_simhash": op9_simhash, "op10_rules": op10_rules}
+QUERIES = {"op1_chat": op1_chat, "op2_quality": op2_quality, "op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op6_pii": op6_pii, "op7_sketch": op7_sketch, "op8_secrets": op8_secrets, "op9_simhash": op9_simhash, "op10_rules": op10_rules}
 SQL: dict[str, str] = {}
