@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, chat, pii, quality, rules, secrets, simhash, sketch, toxicity
+from shelfline.llm import bpe, chat, mixing, pii, quality, rules, secrets, simhash, sketch, toxicity
 from shelfline.llm.text import documents
 
 
@@ -44,6 +44,13 @@ def op7_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.compare_with_next(documents(spark, sf_dir))
 
 
+MIX_SHARE = 0.75
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(documents(spark, sf_dir), MIX_SHARE)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_personal_data(documents(spark, sf_dir)))
 
@@ -58,5 +65,5 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*counts, "rule")
 
 
-QUERIES = {"op1_chat": op1_chat, "op2_quality": op2_quality, "op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op6_pii": op6_pii, "op7_sketch": op7_sketch, "op8_secrets": op8_secrets, "op9_simhash": op9_simhash, "op10_rules": op10_rules}
-SQL: dict[str, str] = {}
+QUERIES = {"op1_chat": op1_chat, "op2_quality": op2_quality, "op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_pii": op6_pii, "op7_sketch": op7_sketch, "op8_secrets": op8_secrets, "op9_simhash": op9_simhash, "op10_rules": op10_rules}
+SQL = {"op5_mixing": mixing.mix_sql(MIX_SHARE)}
