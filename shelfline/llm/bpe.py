@@ -26,6 +26,7 @@ from functools import lru_cache
 import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfline.llm.text import map_columns, map_rows
 
@@ -253,18 +254,27 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return map_rows(encoded, ["doc_id", "ids"], "doc_id long, text string", row)
 
 
-def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
-    """Both ways in one pass: encodes, decodes the ids again, and keeps counts and digests."""
+def _digest_of_decoded(codec: Codec, ids: bytes) -> str:
+    """Decodes again, a block at a time."""
+    back = hashlib.sha256()
+    for piece in codec.decode_pieces(ids):
+        back.update(piece.encode())
+    return back.hexdigest()
+
+
+def encoded_with_digest(docs: DataFrame, path: str) -> DataFrame:
+    """``(doc_id, n_tokens, ids, decoded_sha256)``: the ids, and the digest of what they decode to."""
     shared = _shared_vocabulary(docs.sparkSession, path)
 
     def rows(keys, texts):
         codec = worker_codec(path, shared.value)
-        made = []
-        for key, ids in zip(keys, codec.encode_many([t or "" for t in texts]), strict=True):
-            back = hashlib.sha256()
-            for piece in codec.decode_pieces(ids):
-                back.update(piece.encode())
-            made.append((key, len(ids) // 4, hashlib.sha256(ids).hexdigest(), back.hexdigest()))
-        return made
-
-    return map_columns(docs, ["doc_id", "text"], "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", rows)
+        encoded = codec.encode_many([t or "" for t in texts])
+        return [(key, len(ids) // 4, ids, _digest_of_decoded(codec, ids)) for key, ids in zip(keys, encoded, strict=True)]
+
+    return map_columns(docs, ["doc_id", "text"], "doc_id long, n_tokens long, ids binary, decoded_sha256 string", rows)
+
+
+def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: both ways in one pass."""
+    encoded = encoded_with_digest(docs, path)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")

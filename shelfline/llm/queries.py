@@ -65,5 +65,11 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*counts, "rule")
 
 
-QUERIES = {"op1_chat": op1_chat, "op2_quality": op2_quality, "op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_pii": op6_pii, "op7_sketch": op7_sketch, "op8_secrets": op8_secrets, "op9_simhash": op9_simhash, "op10_rules": op10_rules}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {"op1_chat": op1_chat, "op2_quality": op2_quality, "op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op5_mixing": op5_mixing, "op6_pii": op6_pii, "op7_sketch": op7_sketch, "op8_secrets": op8_secrets, "op9_simhash": op9_simhash, "op10_rules": op10_rules, "pipeline": pipeline}
 SQL = {"op5_mixing": mixing.mix_sql(MIX_SHARE)}
