@@ -64,22 +64,21 @@ def allocate(leaves: DataFrame, mix: Mix, budget: int) -> DataFrame:
     placed = leaves.select(*mix.levels, "capacity").withColumn("budget", F.lit(budget).cast("long"))
     for depth, level in enumerate(mix.levels):
         above, here = list(mix.levels[:depth]), list(mix.levels[: depth + 1])
-        nodes = placed.groupBy(*here).agg(F.sum("capacity").alias("c"), F.min("budget").alias("b")).withColumn("w", mix.weight(level))
+        nodes = placed.groupBy(*here).agg(F.sum("capacity").alias("__c"), F.min("budget").alias("__b")).withColumn("__w", mix.weight(level))
         family = Window.partitionBy(*above) if above else Window.partitionBy(F.lit(0))
-        order = family.orderBy(F.col("c") / F.col("w"), level)
-        before = order.rowsBetween(Window.unboundedPreceding, -1)
+        ratio = F.col("__c") / F.col("__w")
+        before = family.orderBy(ratio, level).rowsBetween(Window.unboundedPreceding, -1)
         filled = nodes.select(
             "*",
-            F.coalesce(F.sum("c").over(before), F.lit(0)).alias("full_c"), F.coalesce(F.sum("w").over(before), F.lit(0)).alias("full_w"),
-            F.sum("w").over(family).alias("all_w"),
+            F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__full_c"), F.coalesce(F.sum("__w").over(before), F.lit(0)).alias("__full_w"),
+            F.sum("__w").over(family).alias("__all_w"),
         )
         # If the children before this one in the order are full, this is x; the first child whose
         # own ratio reaches it settles it for the node. Without one, all are full.
-        x = (F.col("b") - F.col("full_c")) / (F.col("all_w") - F.col("full_w"))
-        ratio = F.col("c") / F.col("w")
-        tried = filled.withColumn("tried", F.when(ratio >= x, F.struct(ratio.alias("ratio"), F.col(level).alias("node"), x.alias("x"))))
-        settled = tried.withColumn("x", F.min("tried").over(family)["x"])
-        share = F.when(F.col("x").isNull(), F.col("c")).otherwise(F.least("c", F.floor(F.col("x") * F.col("w"))))
+        x = (F.col("__b") - F.col("__full_c")) / (F.col("__all_w") - F.col("__full_w"))
+        tried = filled.withColumn("__tried", F.when(ratio >= x, F.struct(ratio.alias("ratio"), F.col(level).alias("node"), x.alias("x"))))
+        settled = tried.withColumn("__x", F.min("__tried").over(family)["x"])
+        share = F.when(F.col("__x").isNull(), F.col("__c")).otherwise(F.least("__c", F.floor(F.col("__x") * F.col("__w"))))
         given = settled.select(*here, share.cast("long").alias("budget"))
         placed = placed.drop("budget").join(given, here)
     return placed.select(*mix.levels, "capacity", "budget")

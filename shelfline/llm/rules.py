@@ -32,6 +32,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 8
+LEAST_COVERED = 4  # bad rows of the pruning part
 STATISTICS = ("n_words", "mean_word", "symbol_share", "capital_share", "mark_share", "dup_line_share", "repeat_share", "distinct_share")
 
 
@@ -217,9 +218,9 @@ def learn_rules(
             c for i, t in enumerate(tries)
             for c in (F.count_if(holds(t) & F.col("bad")).alias(f"p{i}"), F.count_if(holds(t) & ~F.col("bad")).alias(f"n{i}"))
         ]).first()
-        worth = [((counted[f"p{i}"] + 1) / (counted[f"p{i}"] + counted[f"n{i}"] + 2), counted[f"p{i}"]) for i in range(len(tries))]
+        worth = [(counted[f"p{i}"] / max(1, counted[f"p{i}"] + counted[f"n{i}"]), counted[f"p{i}"]) for i in range(len(tries))]
         best = max(range(len(tries)), key=lambda i: (round(worth[i][0], 3), -i))
-        if worth[best][0] < precision or worth[best][1] < max(1, least_cover * total / 3):
+        if worth[best][0] < precision or worth[best][1] < max(LEAST_COVERED, least_cover * total / 3):
             break
         rules.append(tuple(tries[best]))
     return rules

@@ -33,7 +33,8 @@ LEAST = 16
 TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}+"
 PLAIN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{8,}+(?![A-Za-z0-9+/_=-])"
 SAMPLE_DOCUMENTS = 4_000
-LEAST_RATIO = 0.7
+LEAST_RATIO = 1.0
+PRIOR_PAIRS = 8
 LEAST_DISTINCT = 8
 
 
@@ -81,9 +82,13 @@ def train(found: DataFrame, docs: DataFrame, sample_documents: int = SAMPLE_DOCU
     if not counts[True] or not counts[False]:
         return [0.0] * (size * size)
 
+    singles = {kind: {b: sum(found.get(a + b, 0) for a in ALPHABET) for b in ALPHABET} for kind, found in counts.items()}
+    starts = {kind: {a: sum(found.get(a + b, 0) for b in ALPHABET) for a in ALPHABET} for kind, found in counts.items()}
+
     def chance(kind: bool, a: str, b: str) -> float:
-        start = sum(counts[kind].get(a + c, 0) for c in ALPHABET)
-        return math.log((counts[kind].get(a + b, 0) + 0.5) / (start + 0.5 * size))
+        """Of ``b`` after ``a``; where ``a`` was seen little, mostly the chance of ``b`` alone."""
+        alone = (singles[kind][b] + 0.5) / (sum(singles[kind].values()) + 0.5 * size)
+        return math.log((counts[kind].get(a + b, 0) + PRIOR_PAIRS * alone) / (starts[kind][a] + PRIOR_PAIRS))
 
     return [chance(True, a, b) - chance(False, a, b) for a in ALPHABET for b in ALPHABET]
 
