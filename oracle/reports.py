@@ -77,7 +77,7 @@ SELECT p.sku_id, p.product_name, p.category, {avg1('i.on_hand_qty')} AS avg_inve
        {money('i.carrying_cost')} AS total_carrying_cost,
        CAST(p.unit_price AS DOUBLE) * (CAST(sum(i.on_hand_qty) AS DOUBLE) / count(i.on_hand_qty)) AS tied_up_capital
 {BOTH_BY_DAY} GROUP BY p.sku_id, p.product_name, p.category, p.unit_price
-HAVING {SELLING} AND {SUPPLY[0]} > 56 * {SUPPLY[1]}
+HAVING {SELLING} AND {SUPPLY[0]} > 5.25 * {SUPPLY[1]}
 ORDER BY weeks_of_supply DESC NULLS FIRST, p.sku_id LIMIT 30""", *both)
     q["overstock_by_month"] = query(f"""
 SELECT {MONTH} AS month, {OVER} AS overstock_events, count(*) AS total_sku_days,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline import labels
+from shelfline.functions.dates import last_day, on_day, since
 from shelfline.functions.numeric import mean, moments, sample_deviation
 from shelfline.operators.stockouts import stockout_runs
 from shelfline.schemas import ALERTS
@@ -73,11 +74,6 @@ def stockout_alerts(inventory: DataFrame, products: DataFrame, t: Thresholds = T
     )
 
 
-def latest_day(df: DataFrame) -> DataFrame:
-    """Rows of the last day; the day itself is a one-value subquery."""
-    return df.where(F.col("date") == df.agg(F.max("date")).scalar())
-
-
 def low_stock_alerts(latest: DataFrame, products: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Below a share of the safety stock recorded with the snapshot."""
     return (
@@ -145,7 +141,7 @@ def demand_spike_alerts(sales: DataFrame, products: DataFrame, t: Thresholds = T
         .where("std > 0")
     )
     return (
-        latest_day(sales)
+        on_day(sales, last_day(sales))
         .select("sku_id", F.col("units_sold").cast("long").alias("current_demand"))
         .join(stats, "sku_id")
         .where(F.col("current_demand") > F.col("avg") + F.col("std") * t.demand_spike_std)
@@ -202,19 +198,20 @@ def detect_alerts(star: Star, t: Thresholds = Thresholds(), as_of: Column | None
                   consecutive: bool = False) -> DataFrame:
     """All alerts of the look-back window, which ends on the last inventory day.
 
-    The window's start is a one-value subquery compared with the date column, so on
-    date-partitioned facts only the partitions of the window are read.
+    The last day is a one-value subquery. Date filters name the partition column of stored facts
+    too, so only the months of the window are read.
     """
-    cutoff = F.date_sub(star.inventory.agg(F.max("date")).scalar(), t.lookback_days)
-    inventory = star.inventory.where(F.col("date") >= cutoff)
-    last = star.inventory.where(F.col("date") == star.inventory.agg(F.max("date")).scalar())
+    today = last_day(star.inventory)
+    cutoff = F.date_sub(today, t.lookback_days)
+    inventory = since(star.inventory, cutoff)
+    last = on_day(star.inventory, today)
     found = [
         stockout_alerts(inventory, star.products, t, consecutive),
         low_stock_alerts(last, star.products, t),
         overstock_alerts(last, star.products, t),
         service_level_alerts(inventory, star.products, t),
-        demand_spike_alerts(star.sales.where(F.col("date") >= cutoff), star.products, t),
-        supplier_delay_alerts(star.orders.where(F.col("order_date") >= cutoff), star.products, t),
+        demand_spike_alerts(since(star.sales, cutoff), star.products, t),
+        supplier_delay_alerts(since(star.orders, cutoff, "order_date"), star.products, t),
     ]
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
     return _as_records(every, F.current_timestamp() if as_of is None else as_of)

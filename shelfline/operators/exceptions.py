@@ -74,7 +74,7 @@ def top_exceptions(star: Star, top: int = 20) -> DataFrame:
     )
     return (
         with_products(
-            stock_and_sales_by_sku(star.inventory, star.sales), star.products,
+            stock_and_sales_by_sku(star), star.products,
             "product_name", "category", "slg_target",
         )
         .withColumns(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.numeric import half_even
 
 START_SHARE = (7, 10)  # the ledger opens at 70% of the maximum level
+ROWS_PER_TASK = 2_000_000
 FALLBACK_DEMAND = 5  # units per day assumed for days of supply on a day without sales
 
 
@@ -20,30 +23,43 @@ def daily_demand(sales: DataFrame) -> DataFrame:
     )
 
 
-def calendar(skus: DataFrame, first_day: Column, last_day: Column) -> DataFrame:
-    """Every day from ``first_day`` to ``last_day`` for every row of ``skus``."""
-    tasks = skus.sparkSession.sparkContext.defaultParallelism
-    # A SKU list is small on disk, so without this one task would write the whole calendar.
-    return skus.repartition(tasks, "sku_id").withColumn(
-        "date", F.explode(F.sequence(first_day, last_day))
-    )
+def sales_bounds(sales: DataFrame) -> tuple[dt.date | None, dt.date | None]:
+    """First and last day of the sales, read once; both None without sales."""
+    bounds = sales.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+    return bounds["first"], bounds["last"]
+
+
+def _days(bounds: tuple[dt.date | None, dt.date | None]) -> Column:
+    first, last = (F.lit(day).cast("date") for day in bounds)
+    return F.sequence(first, last)
+
+
+def calendar_tasks(skus: int, bounds: tuple[dt.date | None, dt.date | None], rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks for a calendar of ``skus`` x days: their number grows with the rows, not their size."""
+    first, last = bounds
+    days = (last - first).days + 1 if first else 0
+    return max(1, -(-skus * days // rows_per_task))
+
+
+def calendar(skus: DataFrame, bounds: tuple[dt.date | None, dt.date | None]) -> DataFrame:
+    """Every day of ``bounds`` for every row of ``skus``. A SKU list is small on disk, so it is
+    dealt out first; else one task would write the whole calendar."""
+    tasks = calendar_tasks(skus.count(), bounds)
+    return skus.repartition(tasks, "sku_id").withColumn("date", F.explode(_days(bounds)))
 
 
 def demand_on_calendar(products: DataFrame, sales: DataFrame) -> DataFrame:
     """``(sku_id, date, units_sold)`` for every SKU and every day of the sales calendar, 0 where none."""
-    first_day, last_day = _sales_bounds(sales)
-    spine = calendar(products.select("sku_id"), first_day, last_day)
+    spine = calendar(products.select("sku_id"), sales_bounds(sales))
     demand = daily_demand(sales).select("sku_id", "date", "units_sold")
     return spine.join(demand, ["sku_id", "date"], "left").select(
         "sku_id", "date", F.coalesce("units_sold", F.lit(0)).alias("units_sold")
     )
 
 
-def _sales_bounds(sales: DataFrame) -> tuple[Column, Column]:
-    return sales.agg(F.min("date")).scalar(), sales.agg(F.max("date")).scalar()
-
-
-def build_ledger(products: DataFrame, sales: DataFrame, receipts: DataFrame) -> DataFrame:
+def build_ledger(
+    products: DataFrame, sales: DataFrame, receipts: DataFrame, bounds: tuple[dt.date | None, dt.date | None] | None = None
+) -> DataFrame:
     """The inventory snapshot table: one row per SKU and day of the sales calendar.
 
     ``receipts`` is ``(sku_id, date, received)``. Stock never goes below zero: demand that
@@ -53,9 +69,9 @@ def build_ledger(products: DataFrame, sales: DataFrame, receipts: DataFrame) ->
     Demand and receipts are added up per SKU and day first, so a SKU has at most one row per
     calendar day in the window stage, however many sales it has.
     """
-    first_day, last_day = _sales_bounds(sales)
+    bounds = bounds or sales_bounds(sales)
     zero = F.lit(0).cast("long")
-    tasks = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = calendar_tasks(products.count(), bounds)
 
     def moves(df: DataFrame, listed: bool, sold: Column, received: Column) -> DataFrame:
         return df.select(
@@ -66,7 +82,7 @@ def build_ledger(products: DataFrame, sales: DataFrame, receipts: DataFrame) ->
     # All three parts are partitioned on SKU before they meet, so the calendar, by far the
     # largest of them, is produced where the windows need it and is never shuffled.
     spine = products.select("sku_id").repartition(tasks, "sku_id").withColumn(
-        "date", F.explode(F.sequence(first_day, last_day))
+        "date", F.explode(_days(bounds))
     )
     received = receipts.groupBy("sku_id", "date").agg(F.sum("received").alias("received"))
     movements = (

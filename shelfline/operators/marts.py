@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import labels
+from shelfline.functions.dates import PARTITION, last_day, on_day
 from shelfline.functions.numeric import mean
+from shelfline.operators.ledger import daily_demand
 from shelfline.plans.facts import inventory_by, inventory_by_sku, sales_by, sales_by_sku, with_products
 from shelfline.star import Star
 
@@ -108,7 +110,7 @@ def inventory_health(star: Star) -> DataFrame:
         .otherwise(labels.HEALTH_OK)
     )
     cover = on_hand.cast("double") / F.when(safety == 0, 1).otherwise(safety) * 100
-    return star.inventory.join(products, "sku_id").withColumns(
+    return star.inventory.drop(PARTITION).join(products, "sku_id").withColumns(
         {"inventory_value": on_hand * F.col("unit_price"), "safety_stock_pct": cover, "health_status": status}
     )
 
@@ -147,7 +149,7 @@ def daily_health(star: Star) -> DataFrame:
 def sales_detail(star: Star) -> DataFrame:
     """Sales rows with product columns (the product's category wins), month, ISO week and weekday."""
     products = star.products.select("sku_id", "product_name", "brand", "category", "sub_category")
-    return star.sales.drop("category").join(products, "sku_id").withColumns(
+    return star.sales.drop("category", PARTITION).join(products, "sku_id").withColumns(
         {
             "month": year_month("date"),
             "week": F.weekofyear("date"),
@@ -157,9 +159,11 @@ def sales_detail(star: Star) -> DataFrame:
 
 
 def daily_sales_by_category(star: Star) -> DataFrame:
+    """One row per SKU and day before the join: a SKU with many sales reaches it as few rows."""
     return (
-        star.sales.join(star.products.select("sku_id", F.col("category").alias("product_category")), "sku_id")
-        .groupBy("date", F.col("product_category").alias("category"))
+        daily_demand(star.sales)
+        .join(star.products.select("sku_id", "category"), "sku_id")
+        .groupBy("date", "category")
         .agg(F.sum("units_sold").alias("units_sold"), F.sum("revenue").alias("revenue"))
     )
 
@@ -190,10 +194,11 @@ def top_products(star: Star, top: int = 50) -> DataFrame:
 
 
 def exception_mart(star: Star) -> DataFrame:
-    """Alerts with their category; without an alert table, the exceptions of the last inventory day."""
-    if star.alerts is not None:
+    """Alerts with their category; without an alert table, or with an empty one, the exceptions of
+    the last inventory day. The two have different columns, so a one-row check comes first."""
+    if star.alerts is not None and not star.alerts.isEmpty():
         return star.alerts.join(star.products.select("sku_id", "category"), "sku_id", "left")
-    last = star.inventory.where(F.col("date") == star.inventory.agg(F.max("date")).scalar())
+    last = on_day(star.inventory, last_day(star.inventory))
     kind = (
         F.when(F.col("stockout_flag"), labels.HEALTH_STOCKOUT)
         .when(F.col("on_hand_qty") < F.col("safety_stock"), labels.HEALTH_LOW)
@@ -243,24 +248,26 @@ def daily_instock_by_category(star: Star) -> DataFrame:
     return daily_health(star).select("date", "category", (F.col("instock_rate") * 100).alias("instock_rate_pct"))
 
 
-def months_between(first: str, last: str) -> list[str]:
-    """``yyyy-MM`` labels from ``first`` to ``last``, both included."""
-    (y0, m0), (y1, m1) = (map(int, s.split("-")) for s in (first, last))
-    return [f"{i // 12:04d}-{i % 12 + 1:02d}" for i in range(y0 * 12 + m0 - 1, y1 * 12 + m1)]
-
+def stockout_heatmap(star: Star) -> DataFrame:
+    """``(category, month, stockout_days)`` for every category and every month of the inventory,
+    0 where there are none."""
+    counted = _sku_months(star).groupBy("category", "month").agg(F.sum("stockout_days").alias("days"))
+    span = star.inventory.agg(F.struct(F.trunc(F.min("date"), "MM").alias("first"), F.trunc(F.max("date"), "MM").alias("last"))).scalar()
+    months = F.transform(
+        F.sequence(F.col("span.first"), F.col("span.last"), F.expr("interval 1 month")), lambda day: F.date_format(day, "yyyy-MM")
+    )
+    cells = counted.select("category").distinct().withColumn("span", span).select(
+        F.col("category").alias("row"), F.explode(months).alias("column")
+    )
+    matched = F.col("row").eqNullSafe(F.col("category")) & (F.col("column") == F.col("month"))
+    return cells.join(counted, matched, "left").select(
+        F.col("row").alias("category"), F.col("column").alias("month"), F.coalesce("days", F.lit(0)).alias("stockout_days")
+    )
 
-def stockout_heatmap(star: Star, months: list[str]) -> DataFrame:
-    """Stock-out days by category (rows) and month (columns), 0 where there are none.
 
-    ``months`` are given, so the pivot needs no extra pass to find its columns.
-    """
-    return (
-        _sku_months(star)
-        .groupBy("category")
-        .pivot("month", months)
-        .agg(F.sum("stockout_days"))
-        .na.fill(0, months)
-    )
+def months_as_columns(heatmap: DataFrame) -> DataFrame:
+    """The heat map with one column per month, for display."""
+    return heatmap.groupBy("category").pivot("month").sum("stockout_days")
 
 
 def alert_counts(alerts: DataFrame) -> DataFrame:

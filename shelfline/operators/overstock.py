@@ -20,7 +20,7 @@ def days_of_supply() -> tuple[Column, Column]:
 def overstock_by_sku(star: Star) -> DataFrame:
     return (
         with_products(
-            stock_and_sales_by_sku(star.inventory, star.sales), star.products,
+            stock_and_sales_by_sku(star), star.products,
             "product_name", "category", "max_stock_level", "unit_price",
         )
         .select(
@@ -53,14 +53,14 @@ def overstock_by_category(star: Star) -> DataFrame:
     )
 
 
-def excess_weeks_of_supply(star: Star, weeks: int = 8, top: int = 30) -> DataFrame:
+def excess_weeks_of_supply(star: Star, weeks: float = 8, top: int = 30) -> DataFrame:
     stock, demand = days_of_supply()
     return (
         with_products(
-            stock_and_sales_by_sku(star.inventory, star.sales), star.products,
+            stock_and_sales_by_sku(star), star.products,
             "product_name", "category", "unit_price",
         )
-        .where((F.col("units_sum") > 0) & (stock > demand * (7 * weeks)))
+        .where((F.col("units_sum") > 0) & (stock > demand * F.lit(7 * weeks)))
         .select(
             "sku_id", "product_name", "category",
             quotient("on_hand_sum", "on_hand_n", 1).alias("avg_inventory"),

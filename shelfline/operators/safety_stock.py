@@ -23,7 +23,7 @@ def safety_stock_by_sku(star: Star) -> DataFrame:
     coverage = quotient(wide("safety_stock") * wide("units_n"), wide("units_sum"), 1)
     return (
         with_products(
-            stock_and_sales_by_sku(star.inventory, star.sales), star.products,
+            stock_and_sales_by_sku(star), star.products,
             "product_name", "category", "safety_stock", "reorder_point", "max_stock_level",
         )
         .select(
@@ -43,7 +43,7 @@ def inadequate_safety_stock(star: Star, min_days: int = 20, top: int = 30) -> Da
     deviation = sample_deviation("units_sum", "units_squares", "units_n")
     return (
         with_products(
-            stock_and_sales_by_sku(star.inventory, star.sales), star.products,
+            stock_and_sales_by_sku(star), star.products,
             "product_name", "category", "safety_stock", "lead_time_days",
         )
         .where(F.col("stockout_days") > min_days)
@@ -63,7 +63,7 @@ def inadequate_safety_stock(star: Star, min_days: int = 20, top: int = 30) -> Da
 def excess_safety_stock(star: Star, top: int = 30) -> DataFrame:
     return (
         with_products(
-            stock_and_sales_by_sku(star.inventory, star.sales), star.products,
+            stock_and_sales_by_sku(star), star.products,
             "product_name", "category", "safety_stock", "max_stock_level",
         )
         .where(wide("on_hand_sum") > wide("max_stock_level") * wide("on_hand_n"))

@@ -1,21 +1,12 @@
-"""What-if scenarios: an order policy replayed over each SKU's recorded daily demand.
-
-All policies of a SKU are replayed together: the demand series is built once per SKU, and only
-then are the scenarios attached, so adding a scenario adds no shuffle.
-"""
+"""Demand statistics per SKU, and what parameters would become if demand changed."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import labels
 from shelfline.functions.numeric import half_even, mean, sample_deviation
-from shelfline.operators.ledger import daily_demand
 from shelfline.plans.facts import sales_by_sku
 from shelfline.star import Star
 
@@ -31,206 +22,11 @@ def demand_stats(star: Star) -> DataFrame:
     )
 
 
-def demand_series(star: Star) -> DataFrame:
-    """One row per SKU with sales: ``day`` (0 for the first day of the sales calendar) and
-    ``units`` of its selling days as arrays, and the length of the calendar as ``days``.
-
-    Sales are added up per day first, so the arrays have at most one entry per calendar day,
-    whatever the number of sales rows.
-    """
-    first, last = star.sales.agg(F.min("date")).scalar(), star.sales.agg(F.max("date")).scalar()
-    return (
-        daily_demand(star.sales.where(F.col("sku_id").isNotNull()))
-        .withColumn("day", F.datediff("date", first))
-        .groupBy("sku_id")
-        .agg(F.collect_list(F.struct("day", F.coalesce("units_sold", F.lit(0)).cast("int").alias("units"))).alias("sold"))
-        .select(
-            "sku_id", F.col("sold.day").alias("day"), F.col("sold.units").alias("units"),
-            (F.datediff(last, first) + 1).alias("days"),
-        )
-    )
-
-
-REPLAY_RESULT = (
-    "stockout_days array<int>, overstock_days array<int>, stock_sum array<bigint>, orders_placed array<int>"
-)
-
-
-def _replay(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-    """Replays a batch of SKUs day by day, all SKUs and policies of the batch at once.
-
-    Each day: receive what is due, serve demand from stock, count, then order when stock is at
-    or below the reorder point and nothing is outstanding.
-    """
-    for sold_on, units, days, safety, reorder, lead, quantity in batches:
-        demand = np.zeros((len(days), days.max()), np.int64)
-        for row, (on, sold) in enumerate(zip(sold_on, units)):
-            demand[row, on] = sold
-        safety, reorder, lead, quantity = (
-            np.stack(s.to_numpy()).astype(np.int64) for s in (safety, reorder, lead, quantity)
-        )
-        stock = safety + reorder
-        due = np.full(stock.shape, -1)
-        empty, over, held, orders = (np.zeros(stock.shape, np.int64) for _ in range(4))
-        for day in range(demand.shape[1]):
-            arrived = due == day
-            stock = stock + quantity * arrived
-            due[arrived] = -1
-            stock = np.maximum(stock - demand[:, day, None], 0)
-            empty += stock == 0
-            over += stock > 2 * reorder
-            held += stock
-            ordering = (stock <= reorder) & (due < 0)
-            due = np.where(ordering, day + lead, due)
-            orders += ordering
-        yield pd.DataFrame(
-            {
-                "stockout_days": list(empty.astype(np.int32)),
-                "overstock_days": list(over.astype(np.int32)),
-                "stock_sum": list(held),
-                "orders_placed": list(orders.astype(np.int32)),
-            }
-        )
-
-
-def policy(name: str, safety: Column | str = "safety_stock", reorder: Column | str = "reorder_point",
-           lead: Column | str = "lead_time_days") -> Column:
-    """One scenario's parameters. A lead time below one day counts as one day."""
-
-    def whole(value: Column | str) -> Column:
-        return (F.col(value) if isinstance(value, str) else value).cast("int")
-
-    return F.struct(
-        F.lit(name).alias("scenario"),
-        whole(safety).alias("safety_stock"),
-        whole(reorder).alias("reorder_point"),
-        F.greatest(F.lit(1), whole(lead)).alias("lead_time"),
-        whole("min_order_qty").alias("order_qty"),
-    )
-
-
-def replay_policies(star: Star, *policies: Column) -> DataFrame:
-    """Product columns plus ``runs``: one result struct per policy, in the order given."""
-    replay = F.pandas_udf(_replay, REPLAY_RESULT)
-    parameters = star.products.select(
-        "sku_id", "safety_stock", "reorder_point", "lead_time_days", "min_order_qty", "unit_price",
-        F.array(*policies).alias("policies"),
-    )
-    replayed = demand_series(star).join(parameters, "sku_id").withColumn(
-        "out",
-        replay("day", "units", "days", "policies.safety_stock", "policies.reorder_point", "policies.lead_time", "policies.order_qty"),
-    )
-    days = F.col("days")
-
-    def run(p: Column, i: Column) -> Column:
-        def out(field: str) -> Column:
-            return F.get(F.col(f"out.{field}"), i)
-
-        cost = out("stock_sum").cast("decimal(18,0)") * F.col("unit_price") * F.lit(labels.DAILY_CARRYING_RATE).cast("decimal(4,4)")
-        return F.struct(
-            p["scenario"].alias("scenario"),
-            days.alias("days_simulated"),
-            *[p[c].alias(c) for c in ("safety_stock", "reorder_point", "lead_time", "order_qty")],
-            out("stockout_days").alias("stockout_days"),
-            half_even((days - out("stockout_days")) * 100, days, 10, 2).alias("instock_rate"),
-            out("overstock_days").alias("overstock_days"),
-            half_even(out("overstock_days") * 100, days, 10, 2).alias("overstock_rate"),
-            F.bround(cost, 2).alias("total_carrying_cost"),
-            out("orders_placed").alias("orders_placed"),
-        )
-
-    return replayed.withColumn("runs", F.transform("policies", run)).drop("day", "units", "days", "policies", "out")
-
-
 def _scaled(column: str, percent: float) -> Column:
     """A parameter changed by a percentage and cut to a whole number."""
     return (F.col(column).cast("double") * (1 + percent / 100)).cast("int")
 
 
-def _run(number: int) -> Column:
-    return F.col("runs")[number - 1]
-
-
-def _change(field: str, before: int, after: int) -> Column:
-    return _run(after)[field] - _run(before)[field]
-
-
-def _impact(before: int, after: int) -> Column:
-    return F.struct(
-        _change("stockout_days", before, after).alias("stockout_change"),
-        _change("instock_rate", before, after).alias("instock_rate_change"),
-        _change("total_carrying_cost", before, after).alias("carrying_cost_change"),
-    )
-
-
-def safety_stock_policy(percent: float) -> Column:
-    return policy(f"Safety Stock Change: {percent:+}%", _scaled("safety_stock", percent), _scaled("reorder_point", percent))
-
-
-def lead_time_policy(days: int) -> Column:
-    return policy(f"Lead Time Change: {days:+} days", lead=F.greatest(F.lit(1), F.col("lead_time_days") + days))
-
-
-def reorder_policies() -> list[Column]:
-    return [
-        policy(str(m), reorder=(F.col("reorder_point").cast("double") * m).cast("int")) for m in labels.ROP_MULTIPLIERS
-    ]
-
-
-def safety_stock_change(star: Star, percent: float = 20) -> DataFrame:
-    """Current and proposed run with safety stock and reorder point changed by ``percent``."""
-    runs = replay_policies(star, policy("current"), safety_stock_policy(percent))
-    return runs.select(
-        "sku_id", _run(2)["scenario"].alias("scenario"), _run(1).dropFields("scenario").alias("current"),
-        _run(2).dropFields("scenario").alias("proposed"), _impact(1, 2).alias("impact"),
-    )
-
-
-def lead_time_change(star: Star, days: int = 3) -> DataFrame:
-    runs = replay_policies(star, policy("current"), lead_time_policy(days))
-    return runs.select(
-        "sku_id", _run(2)["scenario"].alias("scenario"),
-        F.col("lead_time_days").alias("current_lead_time"), _run(2)["lead_time"].alias("new_lead_time"),
-        _run(1).dropFields("scenario").alias("current"), _run(2).dropFields("scenario").alias("proposed"),
-        _impact(1, 2).dropFields("carrying_cost_change").alias("impact"),
-    )
-
-
-def _best_run(runs: Column, target: float) -> Column:
-    """The cheapest run that meets the target, else the one with the highest in-stock rate; then
-    the smallest multiplier."""
-    keyed = F.transform(
-        runs,
-        lambda r: F.struct(
-            F.when(r["instock_rate"] >= target * 100, 0).otherwise(1).alias("misses"),
-            F.when(r["instock_rate"] >= target * 100, r["total_carrying_cost"].cast("decimal(38,2)"))
-            .otherwise(-r["instock_rate"].cast("decimal(38,2)")).alias("rank"),
-            r["scenario"].cast("double").alias("multiplier"),
-            r.alias("run"),
-        ),
-    )
-    return F.array_min(keyed)
-
-
-def best_reorder_point(star: Star, target: float = 0.95) -> DataFrame:
-    runs = replay_policies(star, *reorder_policies())
-    return runs.withColumn("best", _best_run(F.col("runs"), target)).select(
-        "sku_id",
-        F.lit(f"Optimize ROP for {target * 100}% Service Level").alias("scenario"),
-        F.col("reorder_point").alias("current_rop"),
-        F.col("best.run.reorder_point").alias("optimal_rop"),
-        F.col("best.run.instock_rate").alias("optimal_instock_rate"),
-        F.col("best.run.total_carrying_cost").alias("optimal_carrying_cost"),
-        F.col("best.multiplier").alias("rop_multiplier"),
-    )
-
-
-def reorder_point_grid(star: Star) -> DataFrame:
-    """Every tested reorder point with its run, one row each."""
-    runs = replay_policies(star, *reorder_policies())
-    return runs.select("sku_id", F.inline("runs")).withColumnRenamed("scenario", "rop_multiplier")
-
-
 def _demand_projection(percent: float) -> dict[str, Column]:
     return {
         "current_avg_demand": half_even(F.col("units_sum"), F.col("units_n"), 18, 2),
@@ -256,60 +52,3 @@ def demand_change(star: Star, percent: float = 30) -> DataFrame:
             "recommended_safety_stock", "recommended_reorder_point", "recommendation",
         )
     )
-
-
-def scenario_report(star: Star, safety_percent: float = 20, lead_days: int = 3, target: float = 0.95,
-                    demand_percent: float = 30) -> DataFrame:
-    """The four scenarios for every SKU, one row per SKU and scenario, from a single replay."""
-    runs = replay_policies(
-        star, policy("current"), safety_stock_policy(safety_percent), lead_time_policy(lead_days), *reorder_policies()
-    )
-    both = (
-        runs.join(sales_by_sku(star.sales), "sku_id")
-        .withColumns(_demand_projection(demand_percent))
-        .withColumn("best", _best_run(F.slice("runs", 4, len(labels.ROP_MULTIPLIERS)), target)["run"])
-    )
-
-    def row(scenario: Column, run: Column | None = None, safety: Column | None = None,
-            reorder: Column | None = None, advice: Column | None = None) -> Column:
-        def metric(field: str, kind: str) -> Column:
-            value = run[field] if run is not None else F.lit(None)
-            return value.cast(kind).alias(f"new_{field}")
-
-        now = _run(1)
-        change = [
-            ((run[f] - now[f]) if run is not None else F.lit(None)).cast(kind).alias(name)
-            for f, kind, name in (
-                ("stockout_days", "int", "stockout_change"),
-                ("instock_rate", "decimal(11,2)", "instock_rate_change"),
-                ("total_carrying_cost", "decimal(38,2)", "carrying_cost_change"),
-            )
-        ]
-        return F.struct(
-            scenario.alias("scenario"),
-            F.col("safety_stock").alias("current_safety_stock"),
-            F.col("reorder_point").alias("current_reorder_point"),
-            F.col("lead_time_days").alias("current_lead_time"),
-            now["instock_rate"].alias("current_instock_rate"),
-            (run["safety_stock"] if safety is None else safety).cast("int").alias("new_safety_stock"),
-            (run["reorder_point"] if reorder is None else reorder).cast("int").alias("new_reorder_point"),
-            metric("lead_time", "int"),
-            metric("instock_rate", "decimal(11,2)"),
-            *change,
-            (F.lit(None).cast("string") if advice is None else advice).alias("recommendation"),
-        )
-
-    return both.select(
-        "sku_id",
-        F.inline(
-            F.array(
-                row(_run(2)["scenario"], _run(2)),
-                row(_run(3)["scenario"], _run(3)),
-                row(F.lit(f"Optimize ROP for {target * 100}% Service Level"), F.col("best")),
-                row(
-                    F.lit(f"Demand Change: {demand_percent:+}%"), None, F.col("recommended_safety_stock"),
-                    F.col("recommended_reorder_point"), F.col("recommendation"),
-                ),
-            )
-        ),
-    )

@@ -9,6 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,16 +124,48 @@ def label_clusters(clustered: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Segmentation:
-    clusters: DataFrame
-    silhouette: float
+    assigned: DataFrame  # with the scaled vectors
     model: KMeansModel
 
+    @property
+    def clusters(self) -> DataFrame:
+        return self.assigned.select(*OUTPUT)
+
+    @property
+    def silhouette(self) -> float:
+        """Computed when asked for: it reads all SKUs again."""
+        return silhouette(self.assigned)
+
+    def faults(self) -> DataFrame:
+        """One row: SKUs, SKUs that are not at their nearest centre, and labels that do not follow
+        falling mean revenue. The last two are 0 for any correct fit."""
+        centres = F.array(*[F.array(*[F.lit(float(x)) for x in centre]) for centre in self.model.clusterCenters()])
+        place = vector_to_array("scaled")
+        distances = F.transform(
+            centres, lambda centre: F.aggregate(F.zip_with(place, centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, x: total + x)
+        )
+        own = F.get(distances, F.col("cluster"))
+        judged = self.assigned.select("cluster_label", "total_revenue", (own > F.array_min(distances) + 1e-9).alias("far"))
+        per_label = judged.groupBy("cluster_label").agg(
+            F.count(F.lit(1)).alias("skus"), F.count_if("far").alias("far"), F.avg("total_revenue").alias("revenue")
+        )
+        # One entry per label, so the array has four elements at most.
+        revenues = F.transform(F.sort_array(F.collect_list(F.struct("cluster_label", "revenue"))), lambda x: x["revenue"])
+        rising = F.filter(
+            F.zip_with(revenues, F.slice(revenues, 2, F.size(revenues)), lambda a, b: b > a), lambda x: F.coalesce(x, F.lit(False))
+        )
+        return per_label.agg(
+            F.sum("skus").alias("skus"), F.sum("far").alias("not_at_nearest"), F.size(rising).cast("long").alias("labels_out_of_order")
+        )
+
 
 def segment_skus(star: Star, k: int = 4, restarts: int = RESTARTS) -> Segmentation:
-    vectors = feature_vectors(sku_features(star))
-    model = best_kmeans(vectors, k, restarts)
-    clustered = model.transform(vectors)
-    return Segmentation(label_clusters(clustered).select(*OUTPUT), silhouette(clustered), model)
+    vectors = feature_vectors(sku_features(star)).persist()
+    try:
+        model = best_kmeans(vectors, k, restarts)
+    finally:
+        vectors.unpersist()
+    return Segmentation(label_clusters(model.transform(vectors)), model)
 
 
 def cluster_summary(clusters: DataFrame) -> DataFrame:
@@ -161,10 +194,13 @@ def describe_segments(clusters: DataFrame) -> DataFrame:
 
 def choose_k(star: Star, max_k: int = 8, restarts: int = RESTARTS) -> DataFrame:
     """``(k, silhouette)`` for 2 to ``max_k`` clusters."""
-    vectors = feature_vectors(sku_features(star))
-    scores = [
-        (k, float(silhouette(best_kmeans(vectors, k, restarts).transform(vectors)))) for k in range(2, max_k + 1)
-    ]
+    vectors = feature_vectors(sku_features(star)).persist()  # read by every fit
+    try:
+        scores = [
+            (k, float(silhouette(best_kmeans(vectors, k, restarts).transform(vectors)))) for k in range(2, max_k + 1)
+        ]
+    finally:
+        vectors.unpersist()
     return vectors.sparkSession.createDataFrame(scores, "k int, silhouette double")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import labels
+from shelfline.functions.dates import last_day, since
 from shelfline.operators import (
     alerts, exceptions, forecasting, ledger, marts, overstock, parameters, quality, safety_stock, scenarios,
     segments, service_level, stockouts, suppliers, turns,
@@ -23,7 +24,7 @@ INVENTORY_REPORTS: dict[str, Report] = {
     "worst_instock": service_level.worst_instock,
     "overstock_by_sku": overstock.overstock_by_sku,
     "overstock_by_category": overstock.overstock_by_category,
-    "excess_weeks_of_supply": overstock.excess_weeks_of_supply,
+    "excess_weeks_of_supply": lambda s: overstock.excess_weeks_of_supply(s, weeks=0.75),
     "overstock_by_month": overstock.overstock_by_month,
     "exception_summary": exceptions.exception_summary,
     "top_exceptions": exceptions.top_exceptions,
@@ -60,21 +61,26 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def _alerts(star: Star) -> DataFrame:
     """All alerts, stamped with the last inventory day."""
-    as_of = star.inventory.agg(F.max("date")).scalar().cast("timestamp")
-    return alerts.detect_alerts(star, as_of=as_of)
+    return alerts.detect_alerts(star, as_of=last_day(star.inventory).cast("timestamp"))
 
 
 def _with_alerts(star: Star) -> Star:
     return star.with_derived(alerts=_alerts(star))
 
 
-def _quality(star: Star, years: tuple[int, int]) -> DataFrame:
+def _quality(star: Star) -> DataFrame:
+    """Sales are expected to cover the years of the orders."""
+    years = star.orders.agg(F.min(F.year("order_date")).alias("first"), F.max(F.year("order_date")).alias("last")).first()
     names = ("products", "suppliers", "sales", "inventory", "orders")
-    return quality.validate({name: getattr(star, name) for name in names}, years=years)
+    return quality.validate({name: getattr(star, name) for name in names}, years=(years["first"], years["last"]))
 
 
-def _heatmap(star: Star) -> DataFrame:
-    return marts.stockout_heatmap(star, marts.months_between("1995-01", "2001-12"))
+def _demand_spikes(star: Star) -> DataFrame:
+    """Spikes of the last 60 sales days, half a deviation above the mean: at brand grain few days
+    lie further out."""
+    last = last_day(star.sales)
+    limits = alerts.Thresholds(demand_spike_std=0.5, lookback_days=60)
+    return alerts.demand_spike_alerts(since(star.sales, F.date_sub(last, limits.lookback_days)), star.products, limits)
 
 
 LEDGER_REPORTS: dict[str, Report] = {
@@ -103,12 +109,13 @@ MART_REPORTS: dict[str, Report] = {
     "contract_rates": suppliers.contract_rates,
     "exception_mart": lambda s: marts.exception_mart(_with_alerts(s)),
     "exception_mart_without_alerts": marts.exception_mart,
+    "exception_mart_empty_alerts": lambda s: marts.exception_mart(s.with_derived(alerts=_alerts(s).limit(0))),
     "category_totals": marts.category_totals,
     "monthly_instock_by_category": marts.monthly_instock_by_category,
     "daily_instock_by_category": marts.daily_instock_by_category,
-    "stockout_heatmap": _heatmap,
+    "stockout_heatmap": marts.stockout_heatmap,
     "alert_counts": lambda s: marts.alert_counts(_alerts(s)),
-    "data_quality": lambda s: _quality(s, (1995, 2001)),
+    "data_quality": _quality,
 }
 
 ALERT_REPORTS: dict[str, Report] = {
@@ -129,7 +136,7 @@ SEGMENT_REPORTS: dict[str, Report] = {
 
 # Reports on a star that carries a segmentation.
 CLUSTER_REPORTS: dict[str, Report] = {
-    "sku_clusters": lambda s: s.clusters,
+    "segment_labels": lambda s: s.clusters,
     "cluster_display": lambda s: marts.cluster_display(s.clusters),
     "cluster_summary": lambda s: segments.cluster_summary(s.clusters),
     "segment_descriptions": lambda s: segments.describe_segments(s.clusters),
@@ -137,17 +144,12 @@ CLUSTER_REPORTS: dict[str, Report] = {
 
 SCENARIO_REPORTS: dict[str, Report] = {
     "demand_stats": scenarios.demand_stats,
-    "reorder_point_grid": scenarios.reorder_point_grid,
-    "safety_stock_change": scenarios.safety_stock_change,
-    "lead_time_change": scenarios.lead_time_change,
-    "best_reorder_point": scenarios.best_reorder_point,
     "demand_change": scenarios.demand_change,
-    "scenario_report": scenarios.scenario_report,
 }
 
 # Reports that need dense daily series; they run on sales at a coarser grain.
 SERIES_REPORTS: dict[str, Report] = {
-    "demand_spikes": lambda s: alerts.demand_spike_alerts(s.sales, s.products),
+    "demand_spikes": _demand_spikes,
     "filled_series": lambda s: forecasting.filled_series(s.sales),
     "observed_series": lambda s: forecasting.observed_series(s.sales),
     "model_evaluation": lambda s: _rounded(forecasting.evaluate_models(s), "mae", "rmse"),
@@ -168,8 +170,7 @@ FLOW_REPORTS: dict[str, Report] = {
         "reorder_point_evaluation", "monthly_sales", "sales_detail", "daily_sales_by_category",
         "monthly_trend_by_category", "top_products", "top_ten_products", "supplier_scorecard",
         "monthly_supplier_performance", "contract_rates", "category_totals", "revenue_quartiles", "demand_stats",
-        "demand_change", "reorder_point_grid", "safety_stock_change", "lead_time_change", "best_reorder_point",
-        "scenario_report",
+        "demand_change",
     )
 }
 STOCK_REPORTS: dict[str, Report] = {name: report for name, report in _ALL.items() if name not in FLOW_REPORTS}

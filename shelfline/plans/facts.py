@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.numeric import flag_count, moments, wide
+from shelfline.star import Star
 
 
 def month_of(day: str) -> Column:
@@ -66,17 +67,18 @@ def orders_by(orders: DataFrame, *keys: Column | str) -> DataFrame:
     )
 
 
-def stock_and_sales_by_sku(inventory: DataFrame, sales: DataFrame) -> DataFrame:
+def stock_and_sales_by_sku(star: Star) -> DataFrame:
     """Per SKU, the measures of inventory left-joined to sales on SKU and day.
 
     Sales are reduced to one row per SKU-day first, so the join never multiplies rows; each
     measure is weighted by the number of matching rows on the other side, which is what the
-    plain row-by-row join would have counted. Joining on SKU and day, not SKU alone, spreads
-    one SKU's rows over all tasks.
+    plain row-by-row join would have counted. Where the star carries stored sales per day, their
+    size is known and Spark broadcasts them if they are small: the inventory is then added up per
+    SKU where it is read, and none of its rows is shuffled. Otherwise both are shuffled on SKU and
+    day, which spreads one SKU's rows over all tasks.
     """
-    joined = inventory.where(F.col("sku_id").isNotNull()).join(
-        sales_by(sales, "sku_id", "date"), ["sku_id", "date"], "left"
-    )
+    sold = star.sales_by_day if star.sales_by_day is not None else sales_by(star.sales, "sku_id", "date")
+    joined = star.inventory.where(F.col("sku_id").isNotNull()).join(sold, ["sku_id", "date"], "left")
     copies = F.coalesce("sales_rows", F.lit(1))
     stock = F.col("on_hand_qty")
     return joined.groupBy("sku_id").agg(

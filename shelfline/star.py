@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 class Star:
     """One row per SKU in ``products``, per supplier in ``suppliers``; facts are append-only.
 
-    ``clusters``, ``forecasts`` and ``alerts`` are results of earlier jobs and may be absent.
+    ``clusters``, ``forecasts`` and ``alerts`` are results of earlier jobs and may be absent;
+    ``sales_by_day`` holds stored sums of ``sales`` per SKU and day.
     """
 
     products: DataFrame
@@ -22,6 +23,7 @@ class Star:
     clusters: DataFrame | None = None
     forecasts: DataFrame | None = None
     alerts: DataFrame | None = None
+    sales_by_day: DataFrame | None = None
 
     def with_derived(self, **tables: DataFrame) -> "Star":
         return replace(self, **tables)

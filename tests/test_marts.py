@@ -3,6 +3,8 @@ from decimal import Decimal
 import pytest
 from conftest import order, product, sale, snapshot, supplier
 
+from pyspark.sql import functions as F
+
 from shelfline.operators import marts, segments, suppliers
 from shelfline.operators.alerts import detect_alerts
 
@@ -36,10 +38,22 @@ def test_health_status_uses_the_products_safety_stock(star):
 
 
 def test_heatmap_fills_missing_months(star):
-    months = marts.months_between("2023-12", "2024-02")
-    assert months == ["2023-12", "2024-01", "2024-02"]
-    rows = {r.category: list(r)[1:] for r in marts.stockout_heatmap(star, months).collect()}
-    assert rows == {"c1": [0, 1, 0], "c2": [0, 0, 0]}
+    cells = {(r.category, r.month): r.stockout_days for r in marts.stockout_heatmap(star).collect()}
+    assert cells == {("c1", "2024-01"): 1, ("c1", "2024-02"): 0, ("c2", "2024-01"): 0, ("c2", "2024-02"): 0}
+    wide = {r.category: list(r)[1:] for r in marts.months_as_columns(marts.stockout_heatmap(star)).collect()}
+    assert wide == {"c1": [1, 0], "c2": [0, 0]}
+
+
+def test_heatmap_follows_the_inventory(star):
+    """No month is written down anywhere: stock-outs two years earlier show as well."""
+    early = star.with_derived(inventory=star.inventory.withColumn("date", F.add_months("date", -24)))
+    cells = {(r.category, r.month): r.stockout_days for r in marts.stockout_heatmap(early).collect()}
+    assert sum(cells.values()) == 1 and cells["c1", "2022-01"] == 1
+
+
+def test_empty_alert_table_counts_as_none(star):
+    empty = star.with_derived(alerts=detect_alerts(star).limit(0))
+    assert marts.exception_mart(empty).collect() == marts.exception_mart(star).collect() != []
 
 
 def test_category_comes_from_the_product(star):

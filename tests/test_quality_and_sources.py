@@ -1,7 +1,13 @@
+import os
+import subprocess
+import sys
+
 import pytest
-from conftest import order, product, sale, snapshot, supplier
+from conftest import day, order, product, sale, snapshot, supplier
 
 from shelfline.operators.quality import validate
+from pyspark.sql import functions as F
+from shelfline.functions import dates
 from shelfline.sources import sinks, tables
 from shelfline.sources.catalogue import catalogue_products, clean_catalogue
 from shelfline.sources.shared import new_folder, shared_folder
@@ -97,9 +103,37 @@ def test_csv_columns_by_name(spark, tmp_path):
 
 
 def test_month_pruning(spark, make_star):
+    """Date filters reach the partitions: of three months the last one is read for the last day,
+    and two for a look-back of thirty days."""
     star = make_star(inventory=[snapshot("a", n, 1) for n in (0, 40, 80)])
     stored = sinks.store_inventory(star, new_folder(spark, "test"))
-    assert stored.inventory.columns == star.inventory.columns and stored.inventory.count() == 3
+    assert stored.inventory.columns == [*star.inventory.columns, dates.PARTITION] and stored.inventory.count() == 3
+    today = dates.last_day(stored.inventory)
+    for rows, months in ((dates.on_day(stored.inventory, today), 1), (dates.since(stored.inventory, F.date_sub(today, 45)), 2)):
+        assert rows.count() == months
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert all("PartitionFilters: []" not in line for line in plan.split("\n") if "on_hand_qty" in line and "PartitionFilters" in line), plan
+    literal = dates.since(stored.inventory, F.lit(day(45)))
+    literal.collect()
+    assert len(literal.inputFiles()) >= 1 and literal.select(F.input_file_name().alias("f")).distinct().count() == 1
+
+
+ALONE = """
+import sys
+from shelfline.session import build_session
+from shelfline.sources.shared import new_folder
+spark = build_session("alone", "local[1]", spark__ui__enabled="false", **dict(a.split("=") for a in sys.argv[1:]))
+print("FOLDER", new_folder(spark, "x"))
+"""
+
+
+def test_shared_folder_must_be_named(tmp_path):
+    """In a fresh process without any configuration: a clear error, and none with a folder."""
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.path.dirname(os.path.dirname(__file__))}
+    run = lambda *args: subprocess.run([sys.executable, "-c", ALONE, *args], env=env, capture_output=True, text=True, timeout=120)
+    without = run()
+    assert without.returncode and "ValueError: set spark.checkpoint.dir" in without.stderr
+    assert f"FOLDER {tmp_path}/x-" in run(f"spark__checkpoint__dir={tmp_path}").stdout
 
 
 def test_shared_folder_is_the_named_one(spark):
