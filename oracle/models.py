@@ -186,7 +186,7 @@ SELECT sku_id, model, round(mae, 6) AS mae, round(rmse, 6) AS rmse, CAST(NULL AS
     q["best_models"] = forecast("SELECT sku_id, model AS model_used, round(mae, 6) AS model_mae FROM best")
     q["forecasts"] = forecast("SELECT * EXCLUDE (predicted) FROM forecasts")
     q["sku_forecasts"] = query(
-        (forecast_clauses() + "SELECT * EXCLUDE (predicted) FROM forecasts").replace("brand_sales", "sales").replace(">= 60)", ">= 31)"), "sales"
+        (forecast_clauses() + "SELECT * EXCLUDE (predicted) FROM forecasts").replace("brand_sales", "sales").replace(">= 60)", ">= 45)"), "sales"
     ).replace("WITH ", "WITH RECURSIVE ", 1)
     assigned = SKU_FEATURES + """
 , dealt AS (SELECT *, CAST(CAST(sku_id AS BIGINT) % 5 AS INTEGER) AS cluster FROM features)
