@@ -149,7 +149,8 @@ def _neighbours(docs: DataFrame, bucket_bytes: int) -> DataFrame:
         return pd.Series([[o, previous[i]] if h else [o] for o, i, h in zip(own, at, head, strict=True)])
 
     placed = rows.select("place", "doc_id", "text", F.posexplode(buckets_of("place")).alias("copy", "bucket"))
-    return placed.repartition(max(1, len(heads)), "bucket").sortWithinPartitions("bucket", "copy", F.desc("place"), "text")
+    # One bucket per task: by the hash of its number, a task would get several.
+    return placed.repartitionById(len(bounds) + 1, "bucket").sortWithinPartitions("bucket", "copy", F.desc("place"), "text")
 
 
 def compare_with_next(docs: DataFrame, k: int = K, width: int = WIDTH, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
