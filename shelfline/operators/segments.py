@@ -17,7 +17,7 @@ from shelfline import labels
 from shelfline.functions.numeric import mean, sample_deviation
 from shelfline.functions.quantiles import exact_quantiles
 from shelfline.plans.facts import inventory_by_sku, sales_by_sku
-from shelfline.sources.shared import cut_lineage
+from shelfline.sources.shared import cut_lineage, store
 from shelfline.star import Star
 
 SEED = 42
@@ -205,9 +205,13 @@ def choose_k(star: Star, max_k: int = 8, restarts: int = RESTARTS) -> DataFrame:
 
 
 def revenue_quartiles(star: Star) -> DataFrame:
-    """SKUs with sales, labelled D to A by quartile of revenue; a cut point belongs to the lower bin."""
-    per_sku = sales_by_sku(star.sales).select(
-        "sku_id", mean("units_sum", "units_n").alias("avg_daily_demand"), F.col("revenue_sum").alias("total_revenue")
+    """SKUs with sales, labelled D to A by quartile of revenue; a cut point belongs to the lower bin.
+    Sales are added up once: the splits, the counts and the labels read the stored sums."""
+    per_sku = store(
+        sales_by_sku(star.sales).select(
+            "sku_id", mean("units_sum", "units_n").alias("avg_daily_demand"), F.col("revenue_sum").alias("total_revenue")
+        ),
+        "revenue",
     )
     cuts = exact_quantiles(per_sku, "total_revenue", [0.25, 0.5, 0.75])
     edges = cuts.agg(F.sort_array(F.collect_list("value"))).scalar()

@@ -62,11 +62,17 @@ def supplier_by_month(star: Star) -> DataFrame:
 
 
 def late_deliveries(star: Star, top: int = 50) -> DataFrame:
-    """The latest deliveries; late rows are filtered before the joins, and only rows that have
-    a supplier and a product count."""
-    return (
+    """The latest deliveries; only rows that have a supplier and a product count. Late rows meet
+    the keys of both, the top ones are taken, and only those fetch the names."""
+    latest = (
         star.orders.where(F.col("actual_delivery_date") > F.col("expected_delivery_date"))
-        .join(star.suppliers.select("supplier_id", "supplier_name"), "supplier_id")
+        .join(star.suppliers.select("supplier_id"), "supplier_id", "left_semi")
+        .join(star.products.select("sku_id"), "sku_id", "left_semi")
+        .orderBy(F.desc(F.datediff("actual_delivery_date", "expected_delivery_date")), "order_id")
+        .limit(top)
+    )
+    return (
+        latest.join(star.suppliers.select("supplier_id", "supplier_name"), "supplier_id")
         .join(star.products.select("sku_id", "product_name"), "sku_id")
         .select(
             "supplier_id", "supplier_name", "order_id", "sku_id", "product_name", "order_date",
