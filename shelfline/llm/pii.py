@@ -4,8 +4,8 @@ The fixed patterns (email, ip, card, phone) are found in every text; their match
 entities. Bootstrapping then looks at a graph of lexical patterns and instances:
 
 - an instance is a token with a digit or an at sign, or a seed;
-- a pattern is the word before it, where that word announces instances: in a sample of about
-  ``SAMPLE_DOCUMENTS`` documents at least ``SPECIFIC`` of its occurrences are followed by one;
+- a pattern is the word before it, where that word announces instances: of its occurrences in all
+  documents at least ``SPECIFIC`` are followed by one;
 - seeds are believed; a pattern is believed as far as the share of its distinct instances that are
   believed; an instance found by a believed pattern is believed in the next round.
 
@@ -47,7 +47,6 @@ TOKEN = rf"(?<![^{BLANK}])[^{BLANK}0-9@]*+[0-9@][^{BLANK}]*+"
 
 ROUNDS = 3
 SPECIFIC = 0.3
-SAMPLE_DOCUMENTS = 20_000
 LEAST_SUPPORT = 5
 CONFIDENCE = 0.6
 
@@ -131,18 +130,17 @@ def pattern_graph(found: DataFrame) -> DataFrame:
     return links.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
 
 
-def announcing_words(found: DataFrame, docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(pattern)``: the words that announce instances, judged on a sample of the documents."""
-    share = min(1.0, sample_documents / max(1, found.count()))
-
-    def chosen(df: DataFrame, key: str) -> DataFrame:
-        return df.where(F.pmod(F.xxhash64(F.lit(6), key), F.lit(1 << 20)) < int(share * (1 << 20)))
-
+def announcing_words(found: DataFrame, docs: DataFrame, links: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(pattern)``: the words that announce instances, counted over all documents. A word with
+    fewer than ``LEAST_SUPPORT`` distinct instances cannot pass later, so it is not a candidate.
+    Words are added up before they meet the candidates: a shuffle row per word and task."""
+    candidates = links.groupBy("pattern").agg(F.count("*").alias("instances")).where(F.col("instances") >= LEAST_SUPPORT).select("pattern")
     before = F.concat(*[F.transform(c, lambda m: m["left"]) for c in (*KINDS, "tokens")])
-    followed = chosen(found, "doc_id").select(F.explode(before).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("followed"))
+    followed = found.select(F.explode(before).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("followed"))
     words = F.explode(F.regexp_extract_all(F.lower(empty_text(text_col)), F.lit(WORD), F.lit(0)))
-    occurring = chosen(docs, id_col).select(words.alias("pattern")).groupBy("pattern").agg(F.count("*").alias("occurring"))
-    return followed.join(occurring, "pattern").where(F.col("followed") >= SPECIFIC * F.col("occurring")).select("pattern")
+    occurring = docs.select(words.alias("pattern")).groupBy("pattern").agg(F.count("*").alias("occurring"))
+    counted = candidates.join(followed, "pattern").join(occurring, "pattern")
+    return counted.where(F.col("followed") >= SPECIFIC * F.col("occurring")).select("pattern")
 
 
 def score_patterns(links: DataFrame, believed: DataFrame) -> DataFrame:
@@ -157,7 +155,8 @@ def score_patterns(links: DataFrame, believed: DataFrame) -> DataFrame:
 
 def bootstrap(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> list[str]:
     """The patterns of high confidence, at most a thousand."""
-    links = store(pattern_graph(found).join(announcing_words(found, docs), "pattern"), "links")
+    graph = store(pattern_graph(found), "graph")
+    links = store(graph.join(announcing_words(found, docs, graph), "pattern"), "links")
     seeds = links.where("seed").select("instance").distinct().withColumn("belief", F.lit(1.0))
     believed, accepted = seeds, None
     for _ in range(rounds):

@@ -89,6 +89,14 @@ def test_bootstrapping_discovers_what_seeds_announce(make_docs):
     assert red[0] == "line of text, badge [PRIVATE] and the end" and red[1] == "line of text, badge [PRIVATE] and the end"
 
 
+def test_rare_patterns_are_counted_in_a_large_corpus(spark):
+    """Each cue is in five of 60,000 documents: a sample of a third of them misses some cues."""
+    rare = [(7 * i, f"here cue{i % 100} bob{i}@mail.example.com") for i in range(500)]
+    plain = spark.range(100_000, 160_000).selectExpr("id AS doc_id", "'the plain text' AS text")
+    docs = spark.createDataFrame(rare, "doc_id long, text string").unionByName(plain)
+    assert set(pii.bootstrap(pii.scan(docs), docs)) == {f"cue{i}" for i in range(100)}
+
+
 def test_secrets_equal_brute_force(make_docs):
     docs = make_docs([*mixed(SECRET_PIECES, 2), *((10_000 + i, t) for i, t in enumerate(LONG)), (-1, None), (-2, "")])
     assert_base(docs, secrets.digests(secrets.find_secrets(docs)), plain_secrets)
