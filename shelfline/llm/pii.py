@@ -9,11 +9,11 @@ entities. Bootstrapping then looks at a graph of lexical patterns and instances:
 - seeds are believed; a pattern is believed as far as the share of its distinct instances that are
   believed; an instance found by a believed pattern is believed in the next round.
 
-A pattern must extract at least ``LEAST_SUPPORT`` believed instances, and one in a thousand of all
-believed links, so at most a thousand patterns can pass, whatever the size of the corpus. After
-``ROUNDS`` rounds, every token in the context of a pattern of at least ``CONFIDENCE`` is reported
-as ``context`` where it overlaps no base span. All of it is SQL expressions, joins and grouped
-aggregation; links are counted per pattern and instance before they are joined.
+A pattern must extract at least ``LEAST_SUPPORT`` believed instances; that bar is the same at every
+size of the corpus. After ``ROUNDS`` rounds, every token in the context of a pattern of at least
+``CONFIDENCE`` is reported as ``context`` where it overlaps no base span. Patterns stay a stored
+table that tokens are joined with, whatever their number. All of it is SQL expressions, joins and
+grouped aggregation; links are counted per pattern and instance before they are joined.
 
 Nulls: a null text is empty; null and repeated ids keep their rows. Without seeds no pattern passes
 and only the fixed patterns report.
@@ -149,16 +149,15 @@ def score_patterns(links: DataFrame, believed: DataFrame) -> DataFrame:
     scored = weighed.groupBy("pattern").agg(
         F.avg("belief").alias("score"), F.count_if(F.col("belief") >= CONFIDENCE).alias("support")
     )
-    total = scored.agg(F.sum("support")).first()[0] or 0
-    return scored.where((F.col("support") >= max(LEAST_SUPPORT, total / 1000)) & (F.col("score") >= CONFIDENCE))
+    return scored.where((F.col("support") >= LEAST_SUPPORT) & (F.col("score") >= CONFIDENCE))
 
 
-def bootstrap(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> list[str]:
-    """The patterns of high confidence, at most a thousand."""
+def passed_patterns(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``(pattern)``: the patterns of high confidence, stored."""
     graph = store(pattern_graph(found), "graph")
     links = store(graph.join(announcing_words(found, docs, graph), "pattern"), "links")
     seeds = links.where("seed").select("instance").distinct().withColumn("belief", F.lit(1.0))
-    believed, accepted = seeds, None
+    believed, accepted = seeds, links.limit(0)
     for _ in range(rounds):
         accepted = store(score_patterns(links, believed), "patterns")
         # An instance is doubted only as far as all the patterns that found it are.
@@ -166,17 +165,24 @@ def bootstrap(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> list[s
             (1 - F.exp(F.sum(F.log(1.000001 - F.col("score"))))).alias("belief")
         )
         believed = store(seeds.unionByName(derived.join(seeds.select("instance"), "instance", "left_anti")), "believed")
-    return [row["pattern"] for row in accepted.orderBy("pattern").collect()] if accepted is not None else []
+    return accepted.select("pattern")
+
 
+def bootstrap(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> list[str]:
+    """The patterns of high confidence in order, on the driver."""
+    return [row["pattern"] for row in passed_patterns(found, docs, rounds).orderBy("pattern").collect()]
 
-def judge(found: DataFrame, patterns: list[str]) -> DataFrame:
-    """``(doc_id, n_email, n_ip, n_card, n_phone, base, spans)``; spans by kind, then start."""
+
+def judge(found: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``(doc_id, n_email, n_ip, n_card, n_phone, base, spans)``; spans by kind, then start.
+    ``found`` also has ``row``, a number of its own for each row: ids may repeat or be null."""
     base = [as_spans(F.col(kind), kind) for kind in KINDS]
-    if patterns:
-        extra = as_spans(F.filter("tokens", lambda m: F.array_contains(F.lit(patterns), m["left"])), "context")
-    else:
-        extra = F.array().cast(SPAN)
-    return found.select(
+    tokens = found.select("row", F.explode(F.filter("tokens", lambda m: m["left"] != "")).alias("m")).select("row", "m.*")
+    announced = tokens.join(patterns, tokens["left"] == patterns["pattern"], "left_semi").groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("context")
+    )
+    extra = F.coalesce(as_spans(F.col("context"), "context"), F.array().cast(SPAN))
+    return found.drop("tokens").join(announced, "row", "left").select(
         "doc_id", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS],
         F.concat(*base).alias("base"), F.concat(*base, extra).alias("spans"),
     )
@@ -184,8 +190,8 @@ def judge(found: DataFrame, patterns: list[str]) -> DataFrame:
 
 def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``(doc_id, n_email, n_ip, n_card, n_phone, base, spans)`` for every document."""
-    found = store(scan(docs), "personal")
-    return judge(found, bootstrap(found, docs, rounds))
+    found = store(scan(docs).withColumn("row", F.monotonically_increasing_id()), "personal")
+    return judge(found, passed_patterns(found, docs, rounds))
 
 
 def digests(judged: DataFrame) -> DataFrame:

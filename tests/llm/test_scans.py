@@ -97,6 +97,15 @@ def test_rare_patterns_are_counted_in_a_large_corpus(spark):
     assert set(pii.bootstrap(pii.scan(docs), docs)) == {f"cue{i}" for i in range(100)}
 
 
+def test_support_does_not_rise_with_the_corpus(make_docs):
+    """``clerk`` has 6 of 9,006 believed links, less than one in a thousand, and a score of one."""
+    hot = [(i, f"write {' '.join(f'badge bob{i}x{j}@mail.example.com' for j in range(50))} now") for i in range(180)]
+    docs = make_docs([*hot, *((1000 + i, f"clerk ann{i}@mail.example.com") for i in range(6)), (None, "clerk Q7Z"), (None, "badge Q8Z")])
+    assert set(pii.bootstrap(pii.scan(docs), docs)) == {"badge", "clerk"}
+    spans = [x.spans for x in pii.digests(pii.find_personal_data(docs)).where("doc_id IS NULL").collect()]
+    assert spans == ["context:6:9"] * 2
+
+
 def test_secrets_equal_brute_force(make_docs):
     docs = make_docs([*mixed(SECRET_PIECES, 2), *((10_000 + i, t) for i, t in enumerate(LONG)), (-1, None), (-2, "")])
     assert_base(docs, secrets.digests(secrets.find_secrets(docs)), plain_secrets)
