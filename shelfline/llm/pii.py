@@ -41,7 +41,8 @@ PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 IP_IN_RANGE = rf"^{PART}(?:\.{PART}){{3}}$"
 # On texts whose doubled separators are replaced: digits and single separators are one run.
 CARD = r"[0-9][0-9 -]*[0-9]"
-DOUBLED_SEPARATORS = r"[ -](?=[ -])|(?<=[ -])[ -]"
+DOUBLED_BLANKS = r"\x20(?=[ -])|(?<=[ -])\x20"  # become tabs, so that words still end there
+DOUBLED_HYPHENS = r"-(?=[ \t-])|(?<=[ \t-])-"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 TOKEN = rf"(?<![^{BLANK}])[^{BLANK}0-9@]*+[0-9@][^{BLANK}]*+"
 
@@ -69,16 +70,16 @@ def base_matches(text: Column) -> dict[str, Column]:
     """The matches of each kind that pass its test."""
     digit = text.rlike("[0-9]")
     dotted = F.when(text.contains(".."), F.regexp_replace(text, DOUBLED_DOTS, "_")).otherwise(text)
-    single = F.when(digit, F.regexp_replace(text, DOUBLED_SEPARATORS, "_")).otherwise(F.lit(""))
+    single = F.when(digit, F.regexp_replace(F.regexp_replace(text, DOUBLED_BLANKS, "\t"), DOUBLED_HYPHENS, "_")).otherwise(F.lit(""))
 
     def valid_card(m: Column) -> Column:
         digits = _digits(m["value"])
         return F.when(F.length(digits).between(16, 19), luhn(digits)).otherwise(False)
 
     return {
-        "email": matches(dotted, EMAIL, text.contains("@")),
+        "email": matches(dotted, EMAIL, text.contains("@"), text),
         "ip": F.filter(matches(text, IP, digit), lambda m: m["value"].rlike(IP_IN_RANGE)),
-        "card": F.filter(matches(single, CARD, digit), valid_card),
+        "card": F.filter(matches(single, CARD, digit, text), valid_card),
         "phone": F.filter(matches(text, PHONE, text.contains("+")), lambda m: F.length(_digits(m["value"])).between(8, 15)),
     }
 

@@ -10,19 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfline.llm.text import BLANK
-
 BLOCK = 256
-CONTEXT = 40  # characters of the piece before a match that are searched for the word before it
+BLANKS = " \t\n\x0b\x0c\r"  # the characters of the class BLANK
 MATCH = "array<struct<start:int,end:int,value:string,left:string>>"
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
-def word_before(piece: Column) -> Column:
-    """The lower-cased word that ends a piece of text, if blanks part it from what follows."""
-    return F.lower(F.regexp_extract(F.right(piece, F.lit(CONTEXT)), rf"(?:^|[{BLANK}])([^{BLANK}]+)[{BLANK}]+$", 1))
-
-
 def _running(pairs: Column) -> Column:
     """``array<struct<at,gap,value>>`` with the place of each pair's gap. Places are summed in
     blocks, so the work stays near linear in the number of matches."""
@@ -51,10 +44,29 @@ def _bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def matches(text: Column, pattern: str, guard: Column | None = None) -> Column:
+def word_before(piece: Column, at: Column, original: Column | None = None) -> Column:
+    """The lower-cased word that ends a piece of text, if blanks part it from what follows. A piece
+    that starts at ``at`` may have ``_`` for characters of ``original``, but keeps its blanks; such a
+    word is taken from ``original`` by its place."""
+
+    def last(trimmed: Column) -> Column:
+        word = trimmed
+        for blank in BLANKS:
+            word = F.substring_index(word, blank, -1)
+        if original is None:
+            found = word
+        else:
+            from_original = F.substring(original, at + F.length(trimmed) - F.length(word) + 1, F.length(word))
+            found = F.when(word.contains("_"), from_original).otherwise(word)
+        return F.when(F.length(trimmed) < F.length(piece), F.lower(found)).otherwise("")
+
+    return _bind(F.rtrim(piece, F.lit(BLANKS)), last)
+
+
+def matches(text: Column, pattern: str, guard: Column | None = None, original: Column | None = None) -> Column:
     """All matches of ``pattern``, leftmost first and not overlapping, with ``start``, ``end``
     (exclusive), ``value`` and ``left``, the word before. ``guard`` is a cheap test that texts
-    with a match pass."""
+    with a match pass; ``original`` is what ``text`` was before characters were replaced by ``_``."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     found = found if guard is None else F.when(guard, found).otherwise(F.array().cast("array<string>"))
 
@@ -65,7 +77,7 @@ def matches(text: Column, pattern: str, guard: Column | None = None) -> Column:
             (m["at"] + F.length(m["gap"])).alias("start"),
             (m["at"] + F.length(m["gap"]) + F.length(m["value"])).alias("end"),
             m["value"].alias("value"),
-            word_before(m["gap"]).alias("left"),
+            word_before(m["gap"], m["at"], original).alias("left"),
         ))
         return F.when(F.size(values) > 0, placed).otherwise(F.array().cast(MATCH))
 

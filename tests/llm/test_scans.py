@@ -106,6 +106,17 @@ def test_support_does_not_rise_with_the_corpus(make_docs):
     assert spans == ["context:6:9"] * 2
 
 
+def test_words_before_are_whole(make_docs):
+    long = "Long" * 30
+    texts = [f"{long} 10.1.2.3", "field" + " \t\n" * 60 + "10.1.2.3", "paid  4111 1111 1111 1111", "a  card--no..x -\t 4111-1111-1111-1111",
+             "é  to..all bob@mail.example.com", "card:\v\f\r+1 555 010 9999", "glued(10.1.2.3"]
+    found = {x.doc_id: x for x in pii.scan(make_docs(texts)).collect()}
+    left = [found[0].ip, found[1].ip, found[2].card, found[3].card, found[4].email, found[5].phone, found[6].ip]
+    assert [[m.left for m in matched] for matched in left] == [[long.lower()], ["field"], ["paid"], ["-"], ["to..all"], ["card:"], [""]]
+    spaced = pii.scan(make_docs(["a  card--no..x  4111-1111-1111-1111"])).first()
+    assert [m.left for m in spaced.card] == ["card--no..x"]
+
+
 def test_secrets_equal_brute_force(make_docs):
     docs = make_docs([*mixed(SECRET_PIECES, 2), *((10_000 + i, t) for i, t in enumerate(LONG)), (-1, None), (-2, "")])
     assert_base(docs, secrets.digests(secrets.find_secrets(docs)), plain_secrets)
