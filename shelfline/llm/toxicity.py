@@ -78,9 +78,11 @@ class Model:
 
 def fit_nnpu(
     positives: list[np.ndarray], unlabelled: list[np.ndarray], n_features: int, prior: float,
-    steps: int = 400, rate: float = 0.05, decay: float = 1e-4,
+    steps: int = 400, rate: float = 0.05, decay: float = 1e-4, shares: np.ndarray | None = None,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk (logistic loss, Adam steps)."""
+    """Weights and bias that minimise the non-negative risk (logistic loss, Adam steps). ``shares``
+    of the unlabelled rows in their population add up to one; without them all rows count alike."""
+    shares = np.full(len(unlabelled), 1 / len(unlabelled)) if shares is None else shares
     rows = [*positives, *unlabelled]
     n_pos, n_all = len(positives), len(rows)
     features = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
@@ -91,14 +93,14 @@ def fit_nnpu(
         z = b + np.bincount(lines, w[features], n_all)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         zp, zu = z[:n_pos], z[n_pos:]
-        negative_part = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        negative_part = shares @ np.logaddexp(0, zu) - prior * np.logaddexp(0, zp).mean()
         slope = np.zeros(n_all)  # of the risk by each row's z
         if negative_part >= 0:
             slope[:n_pos] = (prior * (p[:n_pos] - 1) - prior * p[:n_pos]) / n_pos
-            slope[n_pos:] = p[n_pos:] / len(zu)
+            slope[n_pos:] = p[n_pos:] * shares
         else:  # take the step back: climb on the part that went below zero
             slope[:n_pos] = prior * p[:n_pos] / n_pos
-            slope[n_pos:] = -p[n_pos:] / len(zu)
+            slope[n_pos:] = -p[n_pos:] * shares
         g = np.append(np.bincount(features, slope[lines], n_features) + decay * w, slope.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
@@ -176,8 +178,11 @@ def fit(sample: DataFrame, prior: float, n_features: int = N_FEATURES, bits: int
     for positive, features in rows:
         sparse[positive].append(np.frombuffer(bytes(features), "<i4"))
     weights = np.zeros(1 << bits, np.float32)
-    # Unlabelled rows include toxic ones; the positives themselves are part of that population.
-    w, bias = fit_nnpu(sparse[True], sparse[False] + sparse[True], max(1, len(hashes)), prior)
+    # Unlabelled rows include toxic ones; the positives themselves are part of that population. The
+    # two may be cut by different factors, so each is weighed by its share of the population.
+    others, toxic = len(sparse[False]), len(sparse[True])
+    shares = np.repeat([(1 - prior) / others, prior / toxic], [others, toxic])
+    w, bias = fit_nnpu(sparse[True], sparse[False] + sparse[True], max(1, len(hashes)), prior, shares=shares)
     weights[hashes] = w[: len(hashes)]
     return Model(weights, bias)
 

@@ -117,6 +117,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert found.held_out.equals(found.doc_id.map(lambda k: __import__("zlib").crc32(str(k).encode()) % 4 == 2))
 
 
+def test_bounds_of_the_samples_do_not_move_scores(spark, make_docs):
+    r = random.Random(8)
+    foul = "vile scum rotten filth"
+    docs = make_docs([f"{prose(r, 20, 300)} {foul if i % 20 == 0 else ''}" for i in range(2400)])
+    labels = spark.createDataFrame([(i, 1, int(i % 20 == 0)) for i in range(2400)], "doc_id long, quality int, toxic int")
+    scores = []
+    for bounds in ((6000, 30_000), (6000, 200), (40, 200)):
+        model = toxicity.fit(*toxicity.training_sample(docs, labels, *bounds), n_features=256)
+        scores.append((model.score(f"{prose(random.Random(9), 20, 300)} {foul}"), model.score(prose(random.Random(9), 20, 300))))
+    assert all(abs(found - whole) < 0.1 for found_pair in scores for found, whole in zip(found_pair, scores[0], strict=True)), scores
+    assert min(x for x, _ in scores) > 0.9
+
+
 def test_toxicity_odd_rows(odd_docs, odd_labels, no_docs):
     for docs in (odd_docs, no_docs):
         model = toxicity.fit(*toxicity.training_sample(docs, odd_labels))
