@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, centroids, chat, mixing, packing, pii, quality, rules, secrets, simhash, sketch, toxicity
+from shelfline.llm import bpe, centroids, chat, mixing, packing, pii, quality, rules, secrets, simhash, sketch, toxicity, trie
 from shelfline.llm.text import documents
 
 
@@ -65,6 +65,10 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*counts, "rule")
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("enter", "leave")
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -84,6 +88,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat": op1_chat, "op2_quality": op2_quality, "op3_toxicity": op3_toxicity, "op4_bpe": op4_bpe, "op5_mixing": op5_mixing,
     "op6_pii": op6_pii, "op7_sketch": op7_sketch, "op8_secrets": op8_secrets, "op9_simhash": op9_simhash, "op10_rules": op10_rules,
-    "op12_packing": op12_packing, "op13_centroids": op13_centroids, "pipeline": pipeline,
+    "op11_trie": op11_trie, "op12_packing": op12_packing, "op13_centroids": op13_centroids, "pipeline": pipeline,
 }
-SQL = {"op5_mixing": mixing.mix_sql(MIX_SHARE), "op13_centroids": centroids.cluster_sql()}
+SQL = {"op5_mixing": mixing.mix_sql(MIX_SHARE), "op11_trie": trie.trie_sql(), "op13_centroids": centroids.cluster_sql()}
