@@ -190,24 +190,38 @@ SELECT sku_id, model, round(mae, 6) AS mae, round(rmse, 6) AS rmse, CAST(NULL AS
     ).replace("WITH ", "WITH RECURSIVE ", 1)
     assigned = SKU_FEATURES + """
 , dealt AS (SELECT *, CAST(CAST(sku_id AS BIGINT) % 5 AS INTEGER) AS cluster FROM features)
-, ranked AS (SELECT cluster, row_number() OVER (ORDER BY avg(total_revenue) DESC, cluster) AS place FROM dealt GROUP BY cluster)
+, ranked AS (SELECT cluster, row_number() OVER (ORDER BY sum(CAST(total_revenue AS DECIMAL(22,2))) / count(*) DESC, cluster) AS place FROM dealt GROUP BY cluster)
 , labelled AS (SELECT sku_id, category, unit_price, avg_daily_demand, demand_cv, total_revenue, stockout_rate, inventory_turns,
     d.cluster, CASE place WHEN 1 THEN 'A' WHEN 2 THEN 'B' WHEN 3 THEN 'C' ELSE 'D' END AS cluster_label
   FROM dealt d JOIN ranked r ON r.cluster = d.cluster)
 """
     q["segment_labels"] = query(assigned + "SELECT * FROM labelled", *stock)
     q["cluster_display"] = query(assigned + "SELECT *, least(inventory_turns, 100.0) AS size_value FROM labelled", *stock)
-    q["cluster_summary"] = query(assigned + """
-SELECT cluster_label, count(*) AS sku_count, round_even(avg(avg_daily_demand), 2) AS avg_demand, round_even(avg(demand_cv), 2) AS avg_variability,
-       round_even(sum(total_revenue), 2) AS total_revenue, round_even(avg(total_revenue), 2) AS avg_revenue,
-       round_even(avg(stockout_rate), 2) AS avg_stockout_rate, round_even(avg(inventory_turns), 2) AS avg_turns
-FROM labelled GROUP BY 1""", *stock)
+    # Whole numbers of the last digit: the sum, its quotient in hundredths, and what is left over.
+    averages = {"avg_demand": ("avg_daily_demand", 10), "avg_variability": ("demand_cv", 10), "avg_revenue": ("total_revenue", 2),
+                "avg_stockout_rate": ("stockout_rate", 10), "avg_turns": ("inventory_turns", 10)}
+    sums = ", ".join(f"CAST(sum(CAST({c} AS DECIMAL(28,{d}))) * {10**d} AS HUGEINT) * 100 AS {n}_n" for n, (c, d) in averages.items())
+    rounded = ", ".join(
+        f"CAST({n}_n // (c * {10**d}) + CASE WHEN ({n}_n % (c * {10**d})) * 2 > c * {10**d} OR (({n}_n % (c * {10**d})) * 2 = c * {10**d} "
+        f"AND {n}_n // (c * {10**d}) % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 100 AS {n}" for n, (_, d) in averages.items())
+    q["cluster_summary"] = query(assigned + f"""
+, summed AS (SELECT cluster_label, CAST(count(*) AS HUGEINT) AS c, sum(CAST(total_revenue AS DECIMAL(22,2))) AS total_revenue, {sums} FROM labelled GROUP BY 1)
+SELECT cluster_label, CAST(c AS BIGINT) AS sku_count, CAST(total_revenue AS DOUBLE) AS total_revenue, {rounded} FROM summed""", *stock)
     q["segment_descriptions"] = query(assigned + """
 SELECT cluster_label, count(*) AS sku_count, CASE cluster_label
   WHEN 'A' THEN 'HIGH VALUE - Top revenue generators, prioritize availability'
   WHEN 'B' THEN 'GROWTH - Medium revenue, monitor closely for trends'
   WHEN 'C' THEN 'STABLE - Consistent demand, standard replenishment'
   ELSE 'LOW PRIORITY - Low revenue, consider reducing inventory' END AS description FROM labelled GROUP BY 1""", *stock)
+    z_all = ", ".join(f"(f.{c} - avg(f.{c}) OVER ()) / stddev_pop(f.{c}) OVER ()" for c in CLUSTER_FEATURES)
+    q["silhouettes_of_dealt"] = query(SKU_FEATURES + f"""
+, v AS (SELECT CAST(sku_id AS BIGINT) AS s, list_value({z_all}) AS z FROM features f)
+, pairs AS (SELECT a.s, b.s AS t, list_sum(list_transform(list_zip(a.z, b.z), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v a, v b)
+, near AS (SELECT k, s, t % k AS c, sum(d) AS total, count(*) AS n FROM pairs, (SELECT unnest(range(2, 9)) AS k) GROUP BY ALL)
+, own AS (SELECT k, s, n, total / greatest(n - 1, 1) AS a FROM near WHERE c = s % k)
+, other AS (SELECT k, s, min(total / n) AS b FROM near WHERE c <> s % k GROUP BY ALL)
+SELECT CAST(k AS INTEGER) AS k, round(avg(CASE WHEN n = 1 OR b IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM own LEFT JOIN other USING (k, s) GROUP BY k""", *stock)
     q["segmentation_faults"] = "SELECT count(*) AS skus, CAST(0 AS BIGINT) AS not_at_nearest, CAST(0 AS BIGINT) AS labels_out_of_order FROM part"
     q["forecasts_with_gaps_filled"] = forecast("SELECT * EXCLUDE (predicted) FROM forecasts", filled=True)
     q["model_usage"] = forecast("SELECT model_used, count(*) AS forecast_rows FROM forecasts GROUP BY 1")

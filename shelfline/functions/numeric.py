@@ -43,6 +43,17 @@ def quotient(num: Column | str, den: Column | str, digits: int, scale: int = 0)
     return _as_decimal(F.when((n < 0) != (d < 0), -units).otherwise(units), digits)
 
 
+def even_quotient(num: Column, den: Column, digits: int, scale: int = 0) -> Column:
+    """``num / den`` rounded half to even, exactly; NULL when ``den`` is 0 or NULL. ``scale`` as above."""
+    n, d = _halves(num * 10**scale if scale else num, wide(den) * 10**scale, digits)
+    size, unit = F.abs(n), F.abs(d)
+    rest = size % unit
+    whole = (size - rest) / unit
+    up = (rest * 2 > unit) | ((rest * 2 == unit) & (whole % 2 == 1))
+    units = whole + F.when(up, 1).otherwise(0)
+    return _as_decimal(F.when((n < 0) != (d < 0), -units).otherwise(units), digits)
+
+
 def percent(num: Column | str, den: Column | str, digits: int = 2) -> Column:
     """``100 * num / den`` rounded half away from zero."""
     return quotient(wide(num) * 100, den, digits)

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.numeric import half_even
+from shelfline.sources.buckets import ROWS_PER_BUCKET, bucket_count
 
 START_SHARE = (7, 10)  # the ledger opens at 70% of the maximum level
-ROWS_PER_TASK = 2_000_000
 FALLBACK_DEMAND = 5  # units per day assumed for days of supply on a day without sales
 
 
@@ -34,11 +34,12 @@ def _days(bounds: tuple[dt.date | None, dt.date | None]) -> Column:
     return F.sequence(first, last)
 
 
-def calendar_tasks(skus: int, bounds: tuple[dt.date | None, dt.date | None], rows_per_task: int = ROWS_PER_TASK) -> int:
-    """Tasks for a calendar of ``skus`` x days: their number grows with the rows, not their size."""
+def calendar_tasks(skus: int, bounds: tuple[dt.date | None, dt.date | None], rows_per_task: int = ROWS_PER_BUCKET) -> int:
+    """Tasks for a calendar of ``skus`` x days: their number grows with the rows, not their size.
+    Each of them can be stored as one bucket."""
     first, last = bounds
     days = (last - first).days + 1 if first else 0
-    return max(1, -(-skus * days // rows_per_task))
+    return bucket_count(skus * days, rows_per_task)
 
 
 def calendar(skus: DataFrame, bounds: tuple[dt.date | None, dt.date | None]) -> DataFrame:

@@ -3,26 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import labels
-from shelfline.functions.numeric import mean, sample_deviation
+from shelfline.functions.kmeans import Fit, best_of, distances, fit_many, in_units, nearest, silhouettes
+from shelfline.functions.numeric import even_quotient, mean, sample_deviation
 from shelfline.functions.quantiles import exact_quantiles
 from shelfline.plans.facts import inventory_by_sku, sales_by_sku
-from shelfline.sources.shared import cut_lineage, store
+from shelfline.sources.shared import store
 from shelfline.star import Star
 
 SEED = 42
-PARALLEL_FITS = 4
 RESTARTS = 10
+# Doubles are averaged as decimals of this scale, so an average does not depend on the order of rows.
+AVERAGED_SCALE = 10
 OUTPUT = [
     "sku_id", "category", "unit_price", "avg_daily_demand", "demand_cv", "total_revenue", "stockout_rate",
     "inventory_turns", "cluster", "cluster_label",
@@ -77,37 +74,29 @@ def scale_features(features: DataFrame, columns: list[str] = labels.CLUSTER_FEAT
 
 
 def feature_vectors(features: DataFrame) -> DataFrame:
-    """Scaled features as a vector column, computed once and stored in the shared folder: the
-    K-Means fits below each start from it instead of from the fact tables."""
-    assembler = VectorAssembler(inputCols=[f"z_{c}" for c in labels.CLUSTER_FEATURES], outputCol="scaled")
-    scaled = assembler.transform(scale_features(features))
-    return cut_lineage(scaled.drop(*[f"z_{c}" for c in labels.CLUSTER_FEATURES]))
+    """Scaled features as an array column, and what the fits read of them, computed once and stored
+    in the shared folder: the fits below each start from it instead of from the fact tables."""
+    scaled = scale_features(features)
+    vector = F.array(*[F.col(f"z_{c}") for c in labels.CLUSTER_FEATURES])
+    named = scaled.withColumn("scaled", vector).drop(*[f"z_{c}" for c in labels.CLUSTER_FEATURES])
+    return store(named.withColumns({"place": F.xxhash64("sku_id"), "units": in_units("scaled")}), "vectors")
 
 
-def best_kmeans(vectors: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> KMeansModel:
-    """The model with the lowest cost over ``restarts`` seeds."""
+def best_fits(vectors: DataFrame, ks: list[int], restarts: int = RESTARTS, seed: int = SEED) -> dict[int, Fit]:
+    """For each ``k`` the fit with the lowest cost over ``restarts`` seeds; all are made together."""
+    return best_of(fit_many(vectors, [(k, seed + number) for k in ks for number in range(restarts)]))
 
-    def fit(number: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + number, featuresCol="scaled", predictionCol="cluster", maxIter=300).fit(vectors)
 
-    # The fits are independent Spark jobs; submitting a few at a time keeps the executors busy.
-    with ThreadPool(PARALLEL_FITS) as pool:
-        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(restarts))
-    return min(models, key=lambda model: model.summary.trainingCost)
-
-
-def silhouette(clustered: DataFrame) -> float:
-    """Mean silhouette with squared Euclidean distance, which needs one pass; the plain Euclidean
-    form would need every pair of SKUs."""
-    evaluator = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster", distanceMeasure="squaredEuclidean")
-    return evaluator.evaluate(clustered)
+def mean_revenue() -> Column:
+    """Mean revenue from an exact sum, in cents and four digits more."""
+    return F.avg(F.col("total_revenue").cast("decimal(22,2)"))
 
 
 def label_clusters(clustered: DataFrame) -> DataFrame:
     """Names clusters A, B, C, D by falling mean revenue (then cluster number), D beyond the fourth."""
     ranked = (
         clustered.groupBy("cluster")
-        .agg(F.avg("total_revenue").alias("revenue"))
+        .agg(mean_revenue().alias("revenue"))
         # One entry per cluster, so the array has k elements.
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("revenue")).alias("r"), F.col("cluster").alias("c")))))
         .scalar()
@@ -125,7 +114,7 @@ def label_clusters(clustered: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Segmentation:
     assigned: DataFrame  # with the scaled vectors
-    model: KMeansModel
+    fit: Fit
 
     @property
     def clusters(self) -> DataFrame:
@@ -134,20 +123,17 @@ class Segmentation:
     @property
     def silhouette(self) -> float:
         """Computed when asked for: it reads all SKUs again."""
-        return silhouette(self.assigned)
+        k = self.fit.k
+        return silhouettes(self.assigned, {k: F.col("cluster")}).first()["silhouette"]
 
     def faults(self) -> DataFrame:
         """One row: SKUs, SKUs that are not at their nearest centre, and labels that do not follow
         falling mean revenue. The last two are 0 for any correct fit."""
-        centres = F.array(*[F.array(*[F.lit(float(x)) for x in centre]) for centre in self.model.clusterCenters()])
-        place = vector_to_array("scaled")
-        distances = F.transform(
-            centres, lambda centre: F.aggregate(F.zip_with(place, centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, x: total + x)
-        )
-        own = F.get(distances, F.col("cluster"))
-        judged = self.assigned.select("cluster_label", "total_revenue", (own > F.array_min(distances) + 1e-9).alias("far"))
+        apart = distances(F.col("scaled"), self.fit.centres)
+        own = F.get(apart, F.col("cluster"))
+        judged = self.assigned.select("cluster_label", "total_revenue", (own > F.array_min(apart) + 1e-9).alias("far"))
         per_label = judged.groupBy("cluster_label").agg(
-            F.count(F.lit(1)).alias("skus"), F.count_if("far").alias("far"), F.avg("total_revenue").alias("revenue")
+            F.count(F.lit(1)).alias("skus"), F.count_if("far").alias("far"), mean_revenue().alias("revenue")
         )
         # One entry per label, so the array has four elements at most.
         revenues = F.transform(F.sort_array(F.collect_list(F.struct("cluster_label", "revenue"))), lambda x: x["revenue"])
@@ -160,25 +146,28 @@ class Segmentation:
 
 
 def segment_skus(star: Star, k: int = 4, restarts: int = RESTARTS) -> Segmentation:
-    vectors = feature_vectors(sku_features(star)).persist()
-    try:
-        model = best_kmeans(vectors, k, restarts)
-    finally:
-        vectors.unpersist()
-    return Segmentation(label_clusters(model.transform(vectors)), model)
+    vectors = feature_vectors(sku_features(star))
+    fit = best_fits(vectors, [k], restarts).get(k) or Fit(k, SEED, np.zeros((1, len(labels.CLUSTER_FEATURES))), 0.0, 0)
+    return Segmentation(label_clusters(vectors.withColumn("cluster", nearest(F.col("scaled"), fit.centres))), fit)
 
 
 def cluster_summary(clusters: DataFrame) -> DataFrame:
+    """Averages per label, to 2 digits: sums of decimals, divided once and rounded half to even."""
+
+    def average(column: str, scale: int = AVERAGED_SCALE) -> Column:
+        value = F.col(column).cast(f"decimal(28,{scale})")
+        return even_quotient(F.sum(value), F.count(value), 2, scale).cast("double")
+
     return (
         clusters.groupBy("cluster_label")
         .agg(
             F.count("sku_id").alias("sku_count"),
-            F.bround(F.avg("avg_daily_demand"), 2).alias("avg_demand"),
-            F.bround(F.avg("demand_cv"), 2).alias("avg_variability"),
-            F.bround(F.sum(F.col("total_revenue").cast("decimal(22,2)")), 2).alias("total_revenue"),
-            F.bround(F.avg("total_revenue"), 2).alias("avg_revenue"),
-            F.bround(F.avg("stockout_rate"), 2).alias("avg_stockout_rate"),
-            F.bround(F.avg("inventory_turns"), 2).alias("avg_turns"),
+            average("avg_daily_demand").alias("avg_demand"),
+            average("demand_cv").alias("avg_variability"),
+            F.sum(F.col("total_revenue").cast("decimal(22,2)")).alias("total_revenue"),
+            average("total_revenue", 2).alias("avg_revenue"),
+            average("stockout_rate").alias("avg_stockout_rate"),
+            average("inventory_turns").alias("avg_turns"),
         )
         .orderBy("cluster_label")
     )
@@ -193,15 +182,18 @@ def describe_segments(clusters: DataFrame) -> DataFrame:
 
 
 def choose_k(star: Star, max_k: int = 8, restarts: int = RESTARTS) -> DataFrame:
-    """``(k, silhouette)`` for 2 to ``max_k`` clusters."""
-    vectors = feature_vectors(sku_features(star)).persist()  # read by every fit
-    try:
-        scores = [
-            (k, float(silhouette(best_kmeans(vectors, k, restarts).transform(vectors)))) for k in range(2, max_k + 1)
-        ]
-    finally:
-        vectors.unpersist()
-    return vectors.sparkSession.createDataFrame(scores, "k int, silhouette double")
+    """``(k, silhouette)`` for 2 to ``max_k`` clusters: all fits take their steps together, and one
+    pair of passes gives all silhouettes."""
+    vectors = feature_vectors(sku_features(star))
+    fits = best_fits(vectors, [*range(2, max_k + 1)], restarts)
+    return silhouettes(vectors, {k: nearest(F.col("scaled"), fit.centres) for k, fit in fits.items()})
+
+
+def silhouettes_of_dealt(star: Star, max_k: int = 8) -> DataFrame:
+    """``(k, silhouette)`` of SKUs dealt out by their number, which any engine can repeat."""
+    vectors = feature_vectors(sku_features(star))
+    found = silhouettes(vectors, {k: F.col("sku_id").cast("long") % k for k in range(2, max_k + 1)})
+    return found.select("k", F.round("silhouette", 6).alias("silhouette"))
 
 
 def revenue_quartiles(star: Star) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline import labels
@@ -58,41 +58,32 @@ def stockout_by_category(star: Star) -> DataFrame:
     )
 
 
+def _bit(number: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), number)
+
+
 def stockout_runs(inventory: DataFrame) -> DataFrame:
     """Unbroken runs of stock-out days per SKU: ``(sku_id, stockout_start, stockout_end, consecutive_days)``.
 
-    A run is identified by how many in-stock rows precede it. In-stock rows are counted per SKU
-    and month first, which the map side does almost entirely; single days are then only looked
-    at in months that have a stock-out. There, rows are added up per SKU and day, so no window
-    sees more than one row per calendar day of a SKU.
+    A run is identified by how many days with stock come up to it; a day that has rows of both
+    kinds starts a new one. One scan reduces a SKU's month to a summary: the days with stock as the
+    bits of a number, and the days without stock, which are few, as a list. Summaries of months are
+    joined by the days with stock before each month, so a run may go on over any number of months.
     """
-    out, month = F.col("stockout_flag"), month_of("date").alias("month")
-    earlier = Window.partitionBy("sku_id").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
-    touched = (
-        inventory.groupBy("sku_id", month)
-        .agg(F.count_if(~out).alias("covered"), F.count_if(out).alias("empty"))
-        .withColumn("covered_before", F.coalesce(F.sum("covered").over(earlier), F.lit(0)))
-        .where("empty > 0")
-        .select("sku_id", "month", "covered_before")
-    )
-    days = (
-        inventory.select("sku_id", "date", month, "stockout_flag")
-        .join(touched, ["sku_id", "month"])
-        .groupBy("sku_id", "month", "covered_before", "date")
-        .agg(F.count_if(~out).alias("covered"), F.count_if(out).alias("empty"))
-    )
-    so_far = Window.partitionBy("sku_id", "month").orderBy("date").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    out, month, day = F.col("stockout_flag"), month_of("date").alias("month"), F.coalesce(F.dayofmonth("date"), F.lit(0))
+    months = inventory.groupBy("sku_id", month).agg(
+        F.coalesce(F.bit_or(F.when(~out, _bit(day))), F.lit(0).cast("long")).alias("stocked"),
+        F.collect_list(F.when(out, day.cast("byte"))).alias("empty"),
     )
+    earlier = Window.partitionBy("sku_id").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    placed = months.withColumn("before", F.coalesce(F.sum(F.bit_count("stocked")).over(earlier), F.lit(0)))
+    days = placed.select("sku_id", "month", "stocked", "before", F.explode("empty").alias("day"))
+    up_to = _bit(F.col("day").cast("int") + 1) - 1
+    date = F.date_add("month", F.col("day").cast("int") - 1)
     return (
-        days.withColumn("run", F.col("covered_before") + F.sum("covered").over(so_far))
-        .where("empty > 0")
+        days.select("sku_id", date.alias("date"), (F.col("before") + F.bit_count(F.col("stocked").bitwiseAND(up_to))).alias("run"))
         .groupBy("sku_id", "run")
-        .agg(
-            F.min("date").alias("stockout_start"),
-            F.max("date").alias("stockout_end"),
-            F.sum("empty").alias("consecutive_days"),
-        )
+        .agg(F.min("date").alias("stockout_start"), F.max("date").alias("stockout_end"), F.count(F.lit(1)).alias("consecutive_days"))
         .drop("run")
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.numeric import mean, quotient, wide
 from shelfline.plans.facts import (
-    all_pairs_measures, inventory_by_sku, month_of, sales_by, sales_by_sku, with_products,
+    all_pairs_measures, inventory_by_sku, month_of, sales_by_sku, stock_with_day_sales, with_products,
 )
 from shelfline.star import Star
 
@@ -81,9 +81,7 @@ def turns_by_category(star: Star, mode: str = "all_pairs") -> DataFrame:
 
 def turns_by_month(star: Star) -> DataFrame:
     """Sales joined to stock on SKU and day, sales reduced to one row per SKU-day first."""
-    joined = star.inventory.select("sku_id", "date", "on_hand_qty").join(
-        sales_by(star.sales, "sku_id", "date"), ["sku_id", "date"]
-    )
+    joined = stock_with_day_sales(star).where("sales_rows is not null")
     stock = F.col("on_hand_qty")
     return (
         joined.groupBy(month_of("date").alias("month"))

@@ -132,6 +132,7 @@ SEGMENT_REPORTS: dict[str, Report] = {
     ),
     "revenue_quartiles": segments.revenue_quartiles,
     "choose_k": segments.choose_k,
+    "silhouettes_of_dealt": segments.silhouettes_of_dealt,
 }
 
 # Reports on a star that carries a segmentation.

@@ -67,18 +67,35 @@ def orders_by(orders: DataFrame, *keys: Column | str) -> DataFrame:
     )
 
 
+DAY_MEASURES = ("sales_rows", "units_sum", "units_n", "units_squares", "revenue_sum")
+
+
+def sales_of_sku(sales: DataFrame) -> DataFrame:
+    """``(sku_id, by_day)``: a map from days with sales to the day's sums. Bounded by the calendar."""
+    days = sales_by(sales.where(F.col("sku_id").isNotNull() & F.col("date").isNotNull()), "sku_id", "date")
+    entries = F.collect_list(F.struct("date", F.struct(*DAY_MEASURES)))
+    return days.groupBy("sku_id").agg(F.map_from_entries(entries).alias("by_day"))
+
+
+def stock_with_day_sales(star: Star) -> DataFrame:
+    """The inventory rows of a SKU, each with the sums of its day's sales (NULL without any)."""
+    stock = star.inventory.where(F.col("sku_id").isNotNull())
+    if star.sales_of_sku is None:
+        return stock.join(sales_by(star.sales, "sku_id", "date"), ["sku_id", "date"], "left")
+    looked_up = stock.join(star.sales_of_sku, "sku_id", "left").withColumn("day", F.try_element_at("by_day", F.col("date"))).drop("by_day")
+    return looked_up.select("*", "day.*").drop("day")
+
+
 def stock_and_sales_by_sku(star: Star) -> DataFrame:
     """Per SKU, the measures of inventory left-joined to sales on SKU and day.
 
     Sales are reduced to one row per SKU-day first, so the join never multiplies rows; each
     measure is weighted by the number of matching rows on the other side, which is what the
-    plain row-by-row join would have counted. Where the star carries stored sales per day, their
-    size is known and Spark broadcasts them if they are small: the inventory is then added up per
-    SKU where it is read, and none of its rows is shuffled. Otherwise both are shuffled on SKU and
-    day, which spreads one SKU's rows over all tasks.
+    plain row-by-row join would have counted. Where the star carries stored sales of each SKU, a
+    stock row looks its day up there: both tables are bucketed on SKU, so neither is shuffled.
+    Otherwise both are shuffled on SKU and day, which spreads one SKU's rows over all tasks.
     """
-    sold = star.sales_by_day if star.sales_by_day is not None else sales_by(star.sales, "sku_id", "date")
-    joined = star.inventory.where(F.col("sku_id").isNotNull()).join(sold, ["sku_id", "date"], "left")
+    joined = stock_with_day_sales(star)
     copies = F.coalesce("sales_rows", F.lit(1))
     stock = F.col("on_hand_qty")
     return joined.groupBy("sku_id").agg(

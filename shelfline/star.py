@@ -12,7 +12,8 @@ class Star:
     """One row per SKU in ``products``, per supplier in ``suppliers``; facts are append-only.
 
     ``clusters``, ``forecasts`` and ``alerts`` are results of earlier jobs and may be absent;
-    ``sales_by_day`` holds stored sums of ``sales`` per SKU and day.
+    ``sales_of_sku`` holds stored sums of ``sales``, one row per SKU with a map from days. ``buckets``
+    is the number of hash partitions on SKU that ``inventory`` comes in, if it does.
     """
 
     products: DataFrame
@@ -23,7 +24,8 @@ class Star:
     clusters: DataFrame | None = None
     forecasts: DataFrame | None = None
     alerts: DataFrame | None = None
-    sales_by_day: DataFrame | None = None
+    sales_of_sku: DataFrame | None = None
+    buckets: int | None = None
 
-    def with_derived(self, **tables: DataFrame) -> "Star":
+    def with_derived(self, **tables: DataFrame | None) -> "Star":
         return replace(self, **tables)

@@ -63,12 +63,61 @@ def test_scans_read_only_what_is_needed(spark):
     assert "l_extendedprice" not in late and "l_discount" not in late
 
 
-def test_small_stored_sales_leave_the_inventory_where_it_is(spark):
-    """Each report on stock and sales adds the inventory up where it is read."""
+@pytest.fixture
+def large_tables(spark):
+    """Joins as they are when no side is small enough to be sent to every task."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def above_scan(text: str) -> list[str]:
+    """The lines of a plan from the scan of the inventory up to the top, by indentation."""
+    depth_of = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines = text.split("\n")
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and re.search("on_hand_qty|instock_flag|stockout_flag", line))
+    path, depth = [], depth_of(lines[at])
+    for line in reversed(lines[:at]):
+        if depth_of(line) < depth:
+            path.append(line.strip(" :+-"))
+            depth = depth_of(line)
+    return path
+
+
+BY_SKU = ["overstock_by_sku", "excess_weeks_of_supply", "top_exceptions", "safety_stock_by_sku", "inadequate_safety_stock", "excess_safety_stock"]
+
+
+@pytest.mark.parametrize("name", [*BY_SKU, "turns_by_month", "daily_health", "inventory_health_rollup", "daily_instock_by_category", "instock_by_sku"])
+def test_buckets_leave_the_inventory_where_it_is(spark, large_tables, name):
+    """Stock meets products and sales, and is added up, where it is read: no row of the inventory
+    is shuffled before partial sums, however large the other sides are."""
     star = entry_points._star(spark, SF)
-    for name in ("overstock_by_sku", "excess_weeks_of_supply", "safety_stock_by_sku", "top_exceptions"):
-        text = plan(catalogue.INVENTORY_REPORTS[name](star))
-        assert "hashpartitioning(sku_id" in text and not re.search(r"hashpartitioning\(sku_id#\d+, date", text), name
+    text = plan((catalogue.INVENTORY_REPORTS | catalogue.MART_REPORTS)[name](star))
+    path = above_scan(text)
+    kinds = [line.split("(")[0].split(" ")[0] for line in path]
+    assert "HashAggregate" in kinds, text
+    assert "Exchange" not in kinds[: kinds.index("HashAggregate")], text
+    if name in BY_SKU:
+        assert not any(line.startswith("Exchange hashpartitioning") for line in path), text
+
+
+def test_runs_read_the_inventory_once(spark, large_tables):
+    text = plan(catalogue.INVENTORY_REPORTS["longest_stockouts"](entry_points._star(spark, SF)))
+    assert text.count("stockout_flag") and sum("Scan parquet" in line and "stockout_flag" in line for line in text.split("\n")) == 1
+    assert text.count("Exchange") <= 4, text
+
+
+def test_stored_star_gives_the_same_reports(spark):
+    """Buckets, the sales looked up in them and the plain join agree."""
+    star = entry_points._star(spark, SF)
+    plain = star.with_derived(sales_of_sku=None)
+    for name in ("overstock_by_sku", "turns_by_month"):
+        report = catalogue.INVENTORY_REPORTS[name]
+        assert sorted(map(str, report(star).collect())) == sorted(map(str, report(plain).collect()))
 
 
 def test_tasks_grow_with_the_calendar():

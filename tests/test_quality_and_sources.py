@@ -106,7 +106,7 @@ def test_month_pruning(spark, make_star):
     """Date filters reach the partitions: of three months the last one is read for the last day,
     and two for a look-back of thirty days."""
     star = make_star(inventory=[snapshot("a", n, 1) for n in (0, 40, 80)])
-    stored = sinks.store_inventory(star, new_folder(spark, "test"))
+    stored = sinks.store_by_sku(star, new_folder(spark, "test"))
     assert stored.inventory.columns == [*star.inventory.columns, dates.PARTITION] and stored.inventory.count() == 3
     today = dates.last_day(stored.inventory)
     for rows, months in ((dates.on_day(stored.inventory, today), 1), (dates.since(stored.inventory, F.date_sub(today, 45)), 2)):
