@@ -8,8 +8,9 @@ is quick for short words; a word of more than ``LONG_WORD`` bytes keeps its cand
 heap instead, with the same result (lowest rank first, then leftmost).
 
 Vocabularies are read from the path given, on the driver, and go to the tasks with the function.
-Words never span white space, so encoded chunks of text between white space are kept in a table of
-bounded size per Python worker. Nulls: a null text is empty and gives no ids; null or repeated
+Words never span white space, so encoded chunks of text between white space are kept in a table per
+Python worker: short chunks only, up to ``KEPT_BYTES`` in all. Very long texts are encoded in
+blocks that end at white space. Nulls: a null text is empty and gives no ids; null or repeated
 document ids keep their rows.
 """
 
@@ -31,7 +32,10 @@ from pyspark.sql import functions as F
 from shelfline.llm.text import map_columns, map_rows
 
 LONG_WORD = 64
-KEPT_CHUNKS = 400_000
+KEPT_CHARS = 64  # longer chunks and words are encoded each time
+KEPT_BYTES = 96 << 20
+ENTRY_BYTES = 320  # of a table's entry beside what it says
+BLOCK_CHARS = 1 << 20
 NO_RANK = 1 << 30
 
 # Unicode white space. str.split() also cuts at the four separators \x1c-\x1f, which are no white
@@ -88,6 +92,7 @@ class Vocabulary:
         order = np.argsort(packed)
         self.pairs, self.pair_ranks = packed[order], order.astype(np.int32)
         self.merged = np.array([ids[a + b] for a, b in model["merges"]], np.int32)
+        self._table = None
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         packed = (left.astype(np.int64) << 20) | right
@@ -95,6 +100,14 @@ class Vocabulary:
         return np.where(self.pairs[at] == packed, self.pair_ranks[at], NO_RANK)
 
 
+    def pair_table(self) -> tuple[dict[tuple[int, int], int], list[int]]:
+        """Ranks by pair, and merged parts by rank, as plain objects: made once, when first used."""
+        if self._table is None:
+            left, right = (self.pairs >> 20).tolist(), (self.pairs & ((1 << 20) - 1)).tolist()
+            self._table = dict(zip(zip(left, right, strict=True), self.pair_ranks.tolist(), strict=True)), self.merged.tolist()
+        return self._table
+
+
 def merge_short(parts: np.ndarray, vocabulary: Vocabulary) -> list[bytes]:
     """Ids of words of equal length, one row each. Every step scans the rank arrays for their
     minima, deletes one boundary per row and refreshes the ranks on both sides of it; rows
@@ -132,13 +145,13 @@ def merge_long(parts: list[int], vocabulary: Vocabulary) -> list[int]:
     """The same merges with a heap of (rank, place) and links to the neighbouring parts."""
     n = len(parts)
     left, right, alive = [*range(-1, n - 1)], [*range(1, n + 1)], [True] * n
-    first = vocabulary.ranks(np.array(parts[:-1]), np.array(parts[1:])).tolist()
-    heap = [(rank, i, parts[i], parts[i + 1]) for i, rank in enumerate(first) if rank < NO_RANK]
+    rank_of, merged = vocabulary.pair_table()
+    heap = [(rank_of[pair], i, *pair) for i, pair in enumerate(zip(parts, parts[1:], strict=False)) if pair in rank_of]
     heapq.heapify(heap)
 
     def offer(i: int) -> None:
         j = right[i]
-        if j < n and (rank := int(vocabulary.ranks(np.array(parts[i]), np.array(parts[j])))) < NO_RANK:
+        if j < n and (rank := rank_of.get((parts[i], parts[j]))) is not None:
             heapq.heappush(heap, (rank, i, parts[i], parts[j]))
 
     while heap:
@@ -146,7 +159,7 @@ def merge_long(parts: list[int], vocabulary: Vocabulary) -> list[int]:
         j = right[i]
         if not alive[i] or j >= n or parts[i] != a or parts[j] != b:
             continue
-        parts[i], alive[j], right[i] = int(vocabulary.merged[rank]), False, right[j]
+        parts[i], alive[j], right[i] = merged[rank], False, right[j]
         if right[j] < n:
             left[right[j]] = i
         offer(i)
@@ -155,6 +168,16 @@ def merge_long(parts: list[int], vocabulary: Vocabulary) -> list[int]:
     return [p for p, kept in zip(parts, alive, strict=True) if kept]
 
 
+def blocks_of(text: str, size: int = BLOCK_CHARS) -> Iterator[str]:
+    """A text in blocks of about ``size`` characters that end before white space."""
+    start = 0
+    while start < len(text):
+        cut = SPACES.search(text, start + size) if len(text) - start > size else None
+        stop = cut.start() if cut else len(text)
+        yield text[start:stop]
+        start = stop
+
+
 class Codec:
     """Encoder and decoder of one Python worker."""
 
@@ -163,43 +186,69 @@ class Codec:
         self.cut = re.compile(vocabulary.word_pattern).findall
         self.special = re.compile("|".join(map(re.escape, vocabulary.special)) or r"(?!)")
         self.inner, self.last = np.array(vocabulary.inner, np.int32), np.array(vocabulary.last, np.int32)
+        self._empty_tables()
+
+    def _empty_tables(self) -> None:
         self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {name: np.array([number], "<u4").tobytes() for name, number in vocabulary.special.items()}
+        self.words: dict[str, bytes] = {name: np.array([number], "<u4").tobytes() for name, number in self.vocabulary.special.items()}
+        self.kept_bytes = 0
+
+    def _keep(self, table: dict[str, bytes], made: dict[str, bytes]) -> None:
+        short = {text: ids for text, ids in made.items() if len(text) <= KEPT_CHARS}
+        table.update(short)
+        self.kept_bytes += sum(ENTRY_BYTES + 4 * len(text) + len(ids) for text, ids in short.items())
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Encodes words that are not in the table, all of a length together."""
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words, all of a length together."""
         by_length: dict[int, list[str]] = {}
         for word in words:
             by_length.setdefault(len(word.encode()), []).append(word)
+        made: dict[str, bytes] = {}
         for length, same in by_length.items():
             raw = np.frombuffer("".join(same).encode(), np.uint8).reshape(len(same), length)
             parts = self.inner[raw]
             parts[:, -1] = self.last[raw[:, -1]]
             if length <= LONG_WORD:
-                made = merge_short(parts, self.vocabulary)
+                ids = merge_short(parts, self.vocabulary)
             else:
-                made = [np.array(merge_long(row.tolist(), self.vocabulary), "<u4").tobytes() for row in parts]
-            self.words.update(zip(same, made, strict=True))
+                ids = [np.array(merge_long(row.tolist(), self.vocabulary), "<u4").tobytes() for row in parts]
+            made.update(zip(same, ids, strict=True))
+        return made
 
     def _cut(self, chunk: str) -> list[str]:
         """The words of a chunk; the strings of special tokens are words of their own."""
-        if "<|" in chunk and (found := self.special.search(chunk)):
-            return [*self._cut(chunk[: found.start()]), found.group(), *self._cut(chunk[found.end() :])]
+        if "<|" not in chunk:
+            return self._plain_words(chunk)
+        words, start = [], 0
+        for found in self.special.finditer(chunk):
+            words += self._plain_words(chunk[start : found.start()])
+            words.append(found.group())
+            start = found.end()
+        return words + self._plain_words(chunk[start:])
+
+    def _plain_words(self, chunk: str) -> list[str]:
         if not chunk.isascii():
             # Lower case character by character: str.lower() alone gives a final sigma its own form.
             chunk = unicodedata.normalize("NFC", chunk).replace("\u03a3", "\u03c3")
         return self.cut(chunk.lower())
 
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.chunks) > KEPT_CHUNKS or len(self.words) > KEPT_CHUNKS:
-            self.__init__(self.vocabulary)
+    def _encode_block(self, texts: list[str]) -> list[bytes]:
+        if self.kept_bytes > KEPT_BYTES:
+            self._empty_tables()
         split = [[c for c in SPACES.split(t) if c] if SEPARATORS.search(t) else t.split() for t in texts]
         chunks, words = self.chunks, self.words
         new = {chunk: self._cut(chunk) for chunk in set().union(*split) if chunk not in chunks}
-        self._learn_words([word for word in set().union(*new.values()) if word not in words])
-        chunks.update((chunk, b"".join([words[word] for word in cut])) for chunk, cut in new.items())
-        return [b"".join([chunks[chunk] for chunk in parts]) for parts in split]
+        new_words = self._encode_words([word for word in set().union(*new.values()) if word not in words])
+        here = {chunk: b"".join([words[word] if word in words else new_words[word] for word in cut]) for chunk, cut in new.items()}
+        self._keep(words, new_words)
+        self._keep(chunks, here)
+        return [b"".join([chunks[chunk] if chunk in chunks else here[chunk] for chunk in parts]) for parts in split]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        if max(map(len, texts), default=0) <= BLOCK_CHARS:
+            return self._encode_block(texts)
+        return [b"".join([self._encode_block([block])[0] for block in blocks_of(text)]) for text in texts]
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]

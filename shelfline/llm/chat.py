@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.text import small_batches
+from shelfline.llm.text import pieces
 
 Piece = tuple[str, bool]
 
@@ -364,7 +364,7 @@ PART_CHARS = 1 << 16
 
 
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
+    for batch in pieces(batches):
         yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
 
 
@@ -416,7 +416,6 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
             ["conv_id", "part", "formatted", "spans"],
         )
 
-    small_batches(turns.sparkSession)
     order = ["conv_id", "turn", "role", "text"]
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
     ordered = rows.repartition("conv_id").sortWithinPartitions(*order)

@@ -181,10 +181,31 @@ def mix_documents(docs: DataFrame, share: float, mix: Mix = MIX) -> DataFrame:
     return chosen.select("doc_id", *[F.col(f"__{level}").alias(level) for level in mix.levels], "n_tokens", F.col("__epoch").cast("long").alias("epoch"))
 
 
-def take_mix(docs: DataFrame, share: float, mix: Mix = MIX) -> DataFrame:
-    """The rows of ``docs`` that the mix reads, with their columns; once per reading."""
+def least_whole_budget(sizes: DataFrame, mix: Mix) -> int:
+    """The smallest budget that, spent by the weights, reads every document at least once.
+
+    From the leaves up: a node gives each child in proportion to its weight, so it needs the
+    largest ratio of need to weight among its children; the others get as much of that as they
+    can hold. Two tokens more per child make up for rounding on the way down.
+    """
+    placed = sizes.groupBy(*mix.levels).agg(F.sum("n_tokens").alias("need")).withColumn("capacity", F.col("need") * mix.max_epochs)
+    for depth in reversed(range(len(mix.levels))):
+        above, level = list(mix.levels[:depth]), mix.levels[depth]
+        asked = F.least("capacity", F.col("need") + 2)
+        children = placed.withColumns({"__w": mix.weight(level), "__asked": asked})
+        highest = children.groupBy(*above).agg(F.max(F.col("__asked") / F.col("__w")).alias("__x"))
+        joined = children.join(highest, above) if above else children.withColumn("__x", highest.scalar())
+        given = F.least("capacity", F.ceil(F.col("__x") * F.col("__w")))
+        placed = joined.groupBy(*above).agg(F.sum(given).cast("long").alias("need"), F.sum("capacity").alias("capacity"))
+    return int(placed.first()["need"] or 0)
+
+
+def take_mix(docs: DataFrame, mix: Mix = MIX) -> DataFrame:
+    """The rows of ``docs`` that the mix reads, with their columns, once per reading. The budget is
+    ``least_whole_budget``: every document is read, and short leaves are read again, up to
+    ``max_epochs`` times, until the weights hold as far as they can."""
     sizes = sizes_of(docs, mix)
-    leaf_cuts = cuts(sizes, mix, budget_of(sizes, share))
+    leaf_cuts = cuts(sizes, mix, least_whole_budget(sizes, mix))
     named = docs.withColumns({f"__{name}": column for name, column in _leaves(docs).items()})
     return select_epochs(named, mix, leaf_cuts).select(*docs.columns)
 

@@ -46,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.bpe import byte_symbols
+from shelfline.llm.text import pieces
 
 CAPACITY = 1024
 SLACK = 16
@@ -191,12 +192,12 @@ def pack_documents(
             yield from encoder.blocks(text)
             yield end
 
-        for batch in batches:
+        for batch in pieces(batches):
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for i, key in enumerate(keys):
                 packer.add(key, ids(texts[i].as_py() or ""))
-                if len(packer.rows) >= ROWS_OUT:
-                    yield packer.take_rows()
+            if len(packer.rows) >= ROWS_OUT:
+                yield packer.take_rows()
         packer.finish()
         yield packer.take_rows()
 

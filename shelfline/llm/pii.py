@@ -4,16 +4,20 @@ The fixed patterns (email, ip, card, phone) are found in every text; their match
 entities. Bootstrapping then looks at a graph of lexical patterns and instances:
 
 - an instance is a token with a digit or an at sign, or a seed;
-- a pattern is the word before it, where that word announces instances: of its occurrences in all
-  documents at least ``SPECIFIC`` are followed by one;
+- a pattern is the word before it (``word _``), the two words before it (``two words _``), the word
+  after it (``_ word``), its shape (``[A99]``: letters by runs, digits and marks one by one), or the
+  word before together with the shape;
+- a pattern of words alone has to announce instances: of its occurrences in all documents at least
+  ``SPECIFIC`` stand beside one;
 - seeds are believed; a pattern is believed as far as the share of its distinct instances that are
-  believed; an instance found by a believed pattern is believed in the next round.
+  believed; an instance is believed in the next round as far as the best pattern that found it.
 
 A pattern must extract at least ``LEAST_SUPPORT`` believed instances; that bar is the same at every
 size of the corpus. After ``ROUNDS`` rounds, every token in the context of a pattern of at least
 ``CONFIDENCE`` is reported as ``context`` where it overlaps no base span. Patterns stay a stored
 table that tokens are joined with, whatever their number. All of it is SQL expressions, joins and
-grouped aggregation; links are counted per pattern and instance before they are joined.
+grouped aggregation; links are counted per pattern and instance before they are joined, and only
+words that can be patterns are counted over the documents.
 
 Nulls: a null text is empty; null and repeated ids keep their rows. Without seeds no pattern passes
 and only the fixed patterns report.
@@ -26,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.spans import MATCH, SPAN, as_spans, joined, matches, outside, redact
+from shelfline.llm.spans import AROUND, SPAN, as_spans, joined, matches, outside, redact
 from shelfline.llm.text import BLANK, WORD, empty_text
 from shelfline.sources.shared import store
 
@@ -50,6 +54,7 @@ ROUNDS = 3
 SPECIFIC = 0.3
 LEAST_SUPPORT = 5
 CONFIDENCE = 0.6
+SMALL_TABLE = 100_000  # so many patterns at most are sent to every task
 
 
 def _digits(value: Column) -> Column:
@@ -77,26 +82,26 @@ def base_matches(text: Column) -> dict[str, Column]:
         return F.when(F.length(digits).between(16, 19), luhn(digits)).otherwise(False)
 
     return {
-        "email": matches(dotted, EMAIL, text.contains("@"), text),
-        "ip": F.filter(matches(text, IP, digit), lambda m: m["value"].rlike(IP_IN_RANGE)),
-        "card": F.filter(matches(single, CARD, digit, text), valid_card),
-        "phone": F.filter(matches(text, PHONE, text.contains("+")), lambda m: F.length(_digits(m["value"])).between(8, 15)),
+        "email": matches(dotted, EMAIL, text.contains("@"), text, around=True),
+        "ip": F.filter(matches(text, IP, digit, around=True), lambda m: m["value"].rlike(IP_IN_RANGE)),
+        "card": F.filter(matches(single, CARD, digit, text, around=True), valid_card),
+        "phone": F.filter(matches(text, PHONE, text.contains("+"), around=True), lambda m: F.length(_digits(m["value"])).between(8, 15)),
     }
 
 
 def _trimmed(found: Column) -> Column:
     """Tokens without the punctuation around them, if a digit or at sign is left."""
     inner = F.transform(found, lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"), m["left"].alias("left"),
+        m["start"].alias("start"), m["left"].alias("left"), m["left2"].alias("left2"), m["right"].alias("right"),
         F.regexp_extract(m["value"], r"^[\"'(\[{<]*", 0).alias("head"),
         F.regexp_replace(F.regexp_replace(m["value"], r"^[\"'(\[{<]+", ""), r"[\"')\]}>.,;:!?]++$", "").alias("value"),
     ))
     placed = F.transform(inner, lambda m: F.struct(
         (m["start"] + F.length(m["head"])).alias("start"),
         (m["start"] + F.length(m["head"]) + F.length(m["value"])).alias("end"),
-        m["value"].alias("value"), m["left"].alias("left"),
+        m["value"].alias("value"), m["left"].alias("left"), m["left2"].alias("left2"), m["right"].alias("right"),
     ))
-    return F.filter(placed, lambda m: F.length(m["value"]) > 0).cast(MATCH)
+    return F.filter(placed, lambda m: F.length(m["value"]) > 0).cast(AROUND)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,42 +111,71 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), empty_text(text_col).alias("text"))
     found = read.select(
         "doc_id", *[c.alias(kind) for kind, c in base_matches(text).items()],
-        matches(text, TOKEN, text.rlike("[0-9@]")).alias("tokens"),
+        matches(text, TOKEN, text.rlike("[0-9@]"), around=True).alias("tokens"),
     )
-    base = F.concat(*[F.transform(kind, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))) for kind in KINDS])
-    trimmed = found.withColumns({"base": base, "tokens": _trimmed(F.col("tokens"))})
-    return trimmed.withColumn("tokens", outside(F.col("tokens"), F.col("base"))).drop("base")
+    return found.withColumn("tokens", outside(_trimmed(F.col("tokens")), *[F.col(kind) for kind in KINDS]))
 
 
 # ---- bootstrapping --------------------------------------------------------------------------
 
 
-def pattern_graph(found: DataFrame) -> DataFrame:
-    """``(pattern, instance, seed)``: the distinct links between patterns and instances."""
+def shape(value: Column) -> Column:
+    """Runs of upper-case letters as ``A``, of others as ``a``, digits as ``9``, marks as they are."""
+    letters = F.regexp_replace(F.regexp_replace(value, r"\p{Lu}++", "A"), r"[\p{L}&&[^A]]++", "a")
+    return F.regexp_replace(letters, "[0-9]", "9")
+
+
+def patterns_of(m: Column) -> Column:
+    """The patterns that a match is an instance of."""
+    named = lambda word: word.rlike(r"\p{L}")
+    shaped = F.concat(F.lit("["), shape(m["value"]), F.lit("]"))
+    every = F.array(
+        F.when(named(m["left"]), F.concat(m["left"], F.lit(" _"))), F.when(named(m["left2"]), F.concat(m["left2"], F.lit(" _"))),
+        F.when(named(m["right"]), F.concat(F.lit("_ "), m["right"])), shaped, F.when(named(m["left"]), F.concat(m["left"], F.lit(" "), shaped)),
+    )
+    return F.filter(every, lambda p: p.isNotNull())
 
-    def linked(m: Column, seed: bool) -> Column:
-        return F.struct(m["left"].alias("pattern"), m["value"].alias("instance"), F.lit(seed).alias("seed"))
 
-    def with_context(matched: str | Column) -> Column:
-        return F.filter(matched, lambda m: m["left"].rlike(r"\p{L}"))
+def of_words(pattern: Column) -> Column:
+    """Whether a pattern is one of words alone."""
+    return pattern.endswith(" _") | pattern.startswith("_ ")
 
-    seeds = [F.transform(with_context(kind), lambda m: linked(m, True)) for kind in KINDS]
-    others = F.transform(with_context("tokens"), lambda m: linked(m, False))
-    links = found.select(F.explode(F.concat(*seeds, others)).alias("link")).select("link.*")
-    return links.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
 
+def occurrences(found: DataFrame) -> DataFrame:
+    """``(pattern, instance, seed)``, a row for each time that a pattern finds an instance."""
 
-def announcing_words(found: DataFrame, docs: DataFrame, links: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(pattern)``: the words that announce instances, counted over all documents. A word with
-    fewer than ``LEAST_SUPPORT`` distinct instances cannot pass later, so it is not a candidate.
-    Words are added up before they meet the candidates: a shuffle row per word and task."""
-    candidates = links.groupBy("pattern").agg(F.count("*").alias("instances")).where(F.col("instances") >= LEAST_SUPPORT).select("pattern")
-    before = F.concat(*[F.transform(c, lambda m: m["left"]) for c in (*KINDS, "tokens")])
-    followed = found.select(F.explode(before).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("followed"))
-    words = F.explode(F.regexp_extract_all(F.lower(empty_text(text_col)), F.lit(WORD), F.lit(0)))
-    occurring = docs.select(words.alias("pattern")).groupBy("pattern").agg(F.count("*").alias("occurring"))
-    counted = candidates.join(followed, "pattern").join(occurring, "pattern")
-    return counted.where(F.col("followed") >= SPECIFIC * F.col("occurring")).select("pattern")
+    def linked(kind: str, seed: bool) -> Column:
+        return F.transform(kind, lambda m: F.struct(patterns_of(m).alias("patterns"), m["value"].alias("instance"), F.lit(seed).alias("seed")))
+
+    each = found.select(F.explode(F.concat(*[linked(kind, True) for kind in KINDS], linked("tokens", False))).alias("m"))
+    return each.select(F.explode("m.patterns").alias("pattern"), "m.instance", "m.seed")
+
+
+def pattern_graph(found: DataFrame) -> DataFrame:
+    """``(pattern, instance, seed, times)``: the distinct links between patterns and instances."""
+    return occurrences(found).groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("times"))
+
+
+def announcing_patterns(links: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(pattern)``: those that may pass. A pattern with fewer than ``LEAST_SUPPORT`` distinct
+    instances cannot pass later, so it is no candidate. Patterns of words are counted over all
+    documents: words meet the candidates first, so few of them are added up, and if there are too
+    many candidates to send to every task the words are added up first."""
+    candidates = store(
+        links.groupBy("pattern").agg(F.count("*").alias("instances"), F.sum("times").alias("beside")).where(F.col("instances") >= LEAST_SUPPORT), "candidates"
+    )
+    wordy = candidates.where(of_words(F.col("pattern"))).select("pattern", "beside")
+    words = docs.select(F.regexp_extract_all(F.lower(empty_text(text_col)), F.lit(WORD), F.lit(0)).alias("w"))
+    written = F.concat(
+        F.transform("w", lambda x: F.concat(x, F.lit(" _"))), F.transform("w", lambda x: F.concat(F.lit("_ "), x)),
+        F.zip_with(F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", F.lit(2), F.size("w")), lambda x, y: F.concat(x, F.lit(" "), y, F.lit(" _"))),
+    )
+    every = words.select(F.explode(written).alias("pattern"))
+    if wordy.count() <= SMALL_TABLE:
+        every = every.join(F.broadcast(wordy.select("pattern")), "pattern", "left_semi")
+    counted = every.groupBy("pattern").agg(F.count("*").alias("occurring")).join(wordy, "pattern")
+    specific = counted.where(F.col("beside") >= SPECIFIC * F.col("occurring")).select("pattern")
+    return specific.unionByName(candidates.where(~of_words(F.col("pattern"))).select("pattern"))
 
 
 def score_patterns(links: DataFrame, believed: DataFrame) -> DataFrame:
@@ -156,15 +190,13 @@ def score_patterns(links: DataFrame, believed: DataFrame) -> DataFrame:
 def passed_patterns(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``(pattern)``: the patterns of high confidence, stored."""
     graph = store(pattern_graph(found), "graph")
-    links = store(graph.join(announcing_words(found, docs, graph), "pattern"), "links")
+    links = store(graph.join(announcing_patterns(graph, docs), "pattern").drop("times"), "links")
     seeds = links.where("seed").select("instance").distinct().withColumn("belief", F.lit(1.0))
     believed, accepted = seeds, links.limit(0)
     for _ in range(rounds):
         accepted = store(score_patterns(links, believed), "patterns")
-        # An instance is doubted only as far as all the patterns that found it are.
-        derived = links.where(~F.col("seed")).join(accepted, "pattern").groupBy("instance").agg(
-            (1 - F.exp(F.sum(F.log(1.000001 - F.col("score"))))).alias("belief")
-        )
+        # Patterns of one place are no independent witnesses, so the best of them counts.
+        derived = links.where(~F.col("seed")).join(accepted, "pattern").groupBy("instance").agg(F.max("score").alias("belief"))
         believed = store(seeds.unionByName(derived.join(seeds.select("instance"), "instance", "left_anti")), "believed")
     return accepted.select("pattern")
 
@@ -178,10 +210,8 @@ def judge(found: DataFrame, patterns: DataFrame) -> DataFrame:
     """``(doc_id, n_email, n_ip, n_card, n_phone, base, spans)``; spans by kind, then start.
     ``found`` also has ``row``, a number of its own for each row: ids may repeat or be null."""
     base = [as_spans(F.col(kind), kind) for kind in KINDS]
-    tokens = found.select("row", F.explode(F.filter("tokens", lambda m: m["left"] != "")).alias("m")).select("row", "m.*")
-    announced = tokens.join(patterns, tokens["left"] == patterns["pattern"], "left_semi").groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("context")
-    )
+    tokens = found.select("row", F.explode("tokens").alias("m")).select("row", "m.start", "m.end", F.explode(patterns_of(F.col("m"))).alias("pattern"))
+    announced = tokens.join(patterns, "pattern", "left_semi").groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("context"))
     extra = F.coalesce(as_spans(F.col("context"), "context"), F.array().cast(SPAN))
     return found.drop("tokens").join(announced, "row", "left").select(
         "doc_id", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS],
@@ -205,8 +235,8 @@ def redact_personal_data(docs: DataFrame, patterns: list[str], mark: str = "[PRI
     """``docs`` with the spans of its texts replaced; patterns come from ``bootstrap``."""
     text, columns = empty_text(), docs.columns
     kinds = base_matches(text)
-    held = docs.withColumns({f"__{kind}": found for kind, found in kinds.items()} | {"__tokens": _trimmed(matches(text, TOKEN, text.rlike("[0-9@]")))})
-    wanted = F.filter("__tokens", lambda m: F.array_contains(F.lit(patterns or ["\n"]), m["left"]))
+    held = docs.withColumns({f"__{kind}": found for kind, found in kinds.items()} | {"__tokens": _trimmed(matches(text, TOKEN, text.rlike("[0-9@]"), around=True))})
+    wanted = F.filter("__tokens", lambda m: F.arrays_overlap(F.lit(patterns or ["\n"]), patterns_of(m)))
     spans = reduce(F.concat, [as_spans(F.col(f"__{kind}"), kind) for kind in KINDS] + [as_spans(wanted, "context")])
     held = held.withColumn("__spans", spans)
     changed = F.when(F.col("text").isNotNull(), redact(text, F.col("__spans"), mark))

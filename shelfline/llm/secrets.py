@@ -54,8 +54,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         matches(text, HEX).alias("hex"),
         matches(text, TOKEN).alias("tokens"),
     )
-    base = F.concat(*[F.transform(kind, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))) for kind in KINDS])
-    return found.withColumn("base", base).withColumn("tokens", outside(F.col("tokens"), F.col("base"))).drop("base")
+    return found.withColumn("tokens", outside(F.col("tokens"), *[F.col(kind) for kind in KINDS]))
 
 
 def _pairs(samples: DataFrame) -> DataFrame:

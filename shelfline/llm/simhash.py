@@ -267,17 +267,34 @@ def near_duplicates(
     return prints.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with their columns as they
-    were. Of rows that repeat an id the one with the smallest text stays; rows without an id have
-    no group to be judged by and stay."""
-    found = near_duplicates(docs, radius, width)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__kept_id"), "left_semi")
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
+def one_per_group(docs: DataFrame, radius: int = 4, width: int = 4, text_col: str = "text", shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row of every group of linked fingerprints, with its columns as they were: the row with
+    the smallest id, then the smallest hash of the whole row. Rows are judged, not ids: different
+    texts under one id both stay, and a row without an id comes after all that have one. Of rows
+    that are equal in every column one stays."""
+    key = ["__id", "__h1", "__h2"]
+    whole = docs.withColumns({
+        "__id": F.col("doc_id").cast("long"), "__h1": F.xxhash64(F.lit(1), *docs.columns), "__h2": F.xxhash64(*docs.columns, F.lit(2)),
+    })
+
+    def row(number, first, second, text):
+        value = simhash(text, width)
+        return number, first, second, value - (1 << BITS) if value >> (BITS - 1) else value
+
+    named = whole.select(*key, F.col(text_col).alias("text"))
+    prints = store(map_rows(named, [*key, "text"], "id long, h1 long, h2 long, fp long", row), "rows")
+    # Copies are reduced to one row per fingerprint before fingerprints meet their groups.
+    best = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "h1", "h2")).alias("row")
+    points = store(prints.groupBy("fp").agg(best), "points")
+    found = components(links(points.select("fp", F.col("fp").alias("id")), radius, shard_rows))
+    grouped = points.join(found, points.fp == found.a, "left").select(F.coalesce("component", "fp").alias("group"), "row")
+    named = [F.col(f"row.{c}").alias(f"__of_{c}") for c in ("id", "h1", "h2")]
+    chosen = store(grouped.groupBy("group").agg(F.min("row").alias("row")).select(*named), "chosen")
+    same = F.col("__id").eqNullSafe(F.col("__of_id")) & (F.col("__h1") == F.col("__of_h1")) & (F.col("__h2") == F.col("__of_h2"))
+    kept = whole.join(chosen, same, "left_semi")
+    counted = prints.groupBy(F.col("id").alias("__of_id"), F.col("h1").alias("__of_h1"), F.col("h2").alias("__of_h2")).agg(F.count("*").alias("n"))
+    repeated = store(counted.where("n > 1").drop("n").join(chosen.select("__of_h1", "__of_h2"), ["__of_h1", "__of_h2"], "left_semi"), "repeated")
     if not repeated.isEmpty():
-        first = F.min(F.struct(F.xxhash64(*docs.columns).alias("__order"), *docs.columns)).alias("row")
-        ids = repeated.select(F.col("doc_id").alias("__id"))
-        again = named.join(ids, F.col("doc_id") == F.col("__id"), "left_semi").groupBy("doc_id").agg(first).select("row.*").drop("__order")
-        named = named.join(ids, F.col("doc_id") == F.col("__id"), "left_anti").unionByName(again.select(*docs.columns))
-    return named.unionByName(docs.where("doc_id is null"))
+        again = kept.join(repeated, same, "left_semi").dropDuplicates(key)
+        kept = kept.join(repeated, same, "left_anti").unionByName(again)
+    return kept.select(*docs.columns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.text import map_rows, shingle_hashes, small_batches
+from shelfline.llm.text import map_rows, pieces, shingle_hashes
 from shelfline.sources.shared import store
 
 K = 256
@@ -87,7 +87,7 @@ def merge_sketches(sketches: DataFrame, keys: list[str], k: int = K) -> DataFram
     the shuffle, and the ranking keeps ``k`` of them per group and task before it shuffles."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             values = [from_string(text or "") for text in batch.column("fingerprint").to_pylist()]
             rows = np.repeat(np.arange(len(values)), [len(v) for v in values])
             # a signed long in the order of the unsigned hash
@@ -97,7 +97,6 @@ def merge_sketches(sketches: DataFrame, keys: list[str], k: int = K) -> DataFram
 
     narrow = sketches.select(*keys, "fingerprint")
     schema = narrow.select(*keys).schema.add("h", "long")
-    small_batches(sketches.sparkSession)
     hashes = narrow.mapInArrow(explode, schema).distinct()
     best = hashes.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("h"))).where(F.col("n") <= k)
     lists = best.groupBy(*keys).agg(F.sort_array(F.collect_list("h")).alias("hashes"))
@@ -169,7 +168,7 @@ def compare_with_next(docs: DataFrame, k: int = K, width: int = WIDTH, bucket_by
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # (bucket, doc_id, text, sketch) of the row that waits for its successor
-        for batch in batches:
+        for batch in pieces(batches):
             made = []
             for bucket, copy, key, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "copy", "doc_id", "text")), strict=True):
                 own = None
@@ -191,7 +190,6 @@ def compare_with_next(docs: DataFrame, k: int = K, width: int = WIDTH, bucket_by
                 [pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)], names
             )
 
-    small_batches(docs.sparkSession)
     return _neighbours(docs, bucket_bytes).select("bucket", "copy", "doc_id", "text").mapInArrow(run, schema)
 
 

@@ -11,32 +11,42 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLOCK = 256
+# The word after a match; what ends a sentence or a clause right behind the match is passed over.
+NEXT_WORD = r"^[\"')\]}>.,;:!?]*+[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)"
 BLANKS = " \t\n\x0b\x0c\r"  # the characters of the class BLANK
-MATCH = "array<struct<start:int,end:int,value:string,left:string>>"
+MATCH = "array<struct<start:int,end:int,value:string>>"
+AROUND = "array<struct<start:int,end:int,value:string,left:string,left2:string,right:string>>"  # with the words around
+PAIR = "array<struct<at:int,gap:string,value:string,right:string>>"
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
 def _running(pairs: Column) -> Column:
-    """``array<struct<at,gap,value>>`` with the place of each pair's gap. Places are summed in
+    """``array<struct<at,gap,value,right>>`` with the place of each pair's gap. Places are summed in
     blocks, so the work stays near linear in the number of matches."""
 
+    def at(x: Column, place: Column) -> Column:
+        return F.struct(place.alias("at"), x["gap"].alias("gap"), x["value"].alias("value"), x["right"].alias("right"))
+
     def block(start: Column) -> Column:
         def add(state: Column, x: Column) -> Column:
             return F.struct(
                 (state["n"] + F.length(x["gap"]) + F.length(x["value"])).alias("n"),
-                F.concat(state["found"], F.array(F.struct(state["n"].alias("at"), x["gap"].alias("gap"), x["value"].alias("value")))).alias("found"),
+                F.concat(state["found"], F.array(at(x, state["n"]))).alias("found"),
             )
 
-        empty = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<at:int,gap:string,value:string>>").alias("found"))
+        empty = F.struct(F.lit(0).alias("n"), F.array().cast(PAIR).alias("found"))
         return F.aggregate(F.slice(pairs, start, F.lit(BLOCK)), empty, add)
 
-    def join(state: Column, x: Column) -> Column:
-        moved = F.transform(x["found"], lambda m: F.struct((m["at"] + state["n"]).alias("at"), m["gap"].alias("gap"), m["value"].alias("value")))
-        return F.struct((state["n"] + x["n"]).alias("n"), F.concat(state["found"], moved).alias("found"))
+    def shifted(blocks: Column) -> Column:
+        # One start per block: few enough to be added up in an array that grows.
+        starts = F.aggregate(
+            blocks, F.array(F.lit(0)), lambda starts, x: F.concat(starts, F.array(F.element_at(starts, -1) + x["n"]))
+        )
+        return F.flatten(F.zip_with(
+            blocks, F.slice(starts, F.lit(1), F.size(blocks)), lambda x, start: F.transform(x["found"], lambda m: at(m, m["at"] + start))
+        ))
 
-    blocks = F.transform(F.sequence(F.lit(1), F.size(pairs), F.lit(BLOCK)), block)
-    empty = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<at:int,gap:string,value:string>>").alias("found"))
-    return F.aggregate(blocks, empty, join, lambda state: state["found"])
+    return _bind(F.transform(F.sequence(F.lit(1), F.size(pairs), F.lit(BLOCK)), block), shifted)
 
 
 def _bind(value: Column, use) -> Column:
@@ -44,42 +54,62 @@ def _bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def word_before(piece: Column, at: Column, original: Column | None = None) -> Column:
-    """The lower-cased word that ends a piece of text, if blanks part it from what follows. A piece
-    that starts at ``at`` may have ``_`` for characters of ``original``, but keeps its blanks; such a
-    word is taken from ``original`` by its place."""
+def words_before(piece: Column, at: Column, original: Column | None = None) -> Column:
+    """``left`` and ``left2``: the lower-cased word that ends a piece of text, if blanks part it from
+    what follows, and the two words that end it, if one blank parts them. A piece that starts at
+    ``at`` may have ``_`` for characters of ``original``, but keeps its blanks; such words are taken
+    from ``original`` by their place."""
 
-    def last(trimmed: Column) -> Column:
-        word = trimmed
-        for blank in BLANKS:
-            word = F.substring_index(word, blank, -1)
-        if original is None:
-            found = word
-        else:
-            from_original = F.substring(original, at + F.length(trimmed) - F.length(word) + 1, F.length(word))
-            found = F.when(word.contains("_"), from_original).otherwise(word)
-        return F.when(F.length(trimmed) < F.length(piece), F.lower(found)).otherwise("")
+    def spaced(text: Column) -> Column:
+        return F.translate(text, BLANKS, " " * len(BLANKS))
 
-    return _bind(F.rtrim(piece, F.lit(BLANKS)), last)
+    def ending(trimmed: Column) -> Column:
+        two = F.substring_index(spaced(trimmed), " ", -2)
+        if original is not None:
+            two = _bind(two, lambda word: F.when(word.contains("_"), spaced(
+                F.substring(original, at + F.length(trimmed) - F.length(word) + 1, F.length(word))
+            )).otherwise(word))
+        return F.when(F.length(trimmed) < F.length(piece), F.lower(two)).otherwise("")
 
+    def both(two: Column) -> Column:
+        whole = two.contains(" ") & ~two.startswith(" ")
+        return F.struct(F.substring_index(two, " ", -1).alias("left"), F.when(whole, two).otherwise("").alias("left2"))
 
-def matches(text: Column, pattern: str, guard: Column | None = None, original: Column | None = None) -> Column:
+    return _bind(_bind(F.rtrim(piece, F.lit(BLANKS)), ending), both)
+
+
+def matches(
+    text: Column, pattern: str, guard: Column | None = None, original: Column | None = None, around: bool = False
+) -> Column:
     """All matches of ``pattern``, leftmost first and not overlapping, with ``start``, ``end``
-    (exclusive), ``value`` and ``left``, the word before. ``guard`` is a cheap test that texts
-    with a match pass; ``original`` is what ``text`` was before characters were replaced by ``_``."""
+    (exclusive) and ``value``. With ``around`` also ``left`` and ``left2``, the word and the two
+    words before, and ``right``, the word after; words are looked for up to the next match.
+    ``guard`` is a cheap test that texts with a match pass; ``original`` is what ``text`` was before
+    characters were replaced by ``_``."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     found = found if guard is None else F.when(guard, found).otherwise(F.array().cast("array<string>"))
 
     def place(values: Column) -> Column:
-        pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(values))
-        pairs = F.zip_with(pieces, values, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")))
-        placed = F.transform(_bind(pairs, _running), lambda m: F.struct(
-            (m["at"] + F.length(m["gap"])).alias("start"),
-            (m["at"] + F.length(m["gap"]) + F.length(m["value"])).alias("end"),
-            m["value"].alias("value"),
-            word_before(m["gap"], m["at"], original).alias("left"),
-        ))
-        return F.when(F.size(values) > 0, placed).otherwise(F.array().cast(MATCH))
+        def paired(pieces: Column) -> Column:
+            gaps = F.slice(pieces, F.lit(1), F.size(values))
+            if not around:
+                return F.zip_with(gaps, values, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value"), F.lit("").alias("right")))
+            after = F.transform(F.slice(pieces, F.lit(2), F.size(values)), lambda gap: F.lower(F.regexp_extract(gap, NEXT_WORD, 1)))
+            return F.transform(F.arrays_zip(gaps.alias("gap"), values.alias("value"), after.alias("right")), lambda x: F.struct(
+                x["gap"].alias("gap"), x["value"].alias("value"), x["right"].alias("right")
+            ))
+
+        def placed(m: Column) -> Column:
+            start = m["at"] + F.length(m["gap"])
+            columns = [start.alias("start"), (start + F.length(m["value"])).alias("end"), m["value"].alias("value")]
+            if not around:
+                return F.struct(*columns)
+            return _bind(words_before(m["gap"], m["at"], original), lambda w: F.struct(
+                *columns, w["left"].alias("left"), w["left2"].alias("left2"), m["right"].alias("right")
+            ))
+
+        placed = F.transform(_bind(_bind(F.split(text, pattern, -1), paired), _running), placed)
+        return F.when(F.size(values) > 0, placed).otherwise(F.array().cast(AROUND if around else MATCH))
 
     return _bind(found, place)
 
@@ -93,9 +123,29 @@ def joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
 
-def outside(found: Column, spans: Column) -> Column:
-    """The matches that overlap none of ``spans``."""
-    return F.filter(found, lambda m: ~F.exists(spans, lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"])))
+def outside(found: Column, *kinds: Column) -> Column:
+    """The matches that overlap no span of ``kinds``. The spans of a kind are in order and do not
+    overlap, so of each kind only the last one that starts before a match ends can: it is found by
+    binary search, and the work stays near linear in the number of matches."""
+
+    def last_before(spans: Column, steps: Column, end: Column) -> Column:
+        """How many spans start before ``end``."""
+        return F.aggregate(
+            steps, F.lit(0), lambda at, step: F.when(F.get(spans, at + step - 1)["start"] < end, at + step).otherwise(at)
+        )
+
+    def clear_of(spans: Column, found: Column) -> Column:
+        # Powers of two from the largest within the number of spans down to one.
+        powers = F.filter(F.array(*[F.lit(1 << bit) for bit in reversed(range(30))]), lambda p: p <= F.size(spans))
+
+        def judged(steps: Column) -> Column:
+            return F.filter(found, lambda m: ~F.coalesce(F.get(spans, last_before(spans, steps, m["end"]) - 1)["end"] > m["start"], F.lit(False)))
+
+        return F.when(F.size(spans) > 0, _bind(powers, judged)).otherwise(found)
+
+    for kind in kinds:
+        found = _bind(F.struct(kind.alias("spans"), found.alias("found")), lambda x: clear_of(x["spans"], x["found"]))
+    return found
 
 
 def redact(text: Column, spans: Column, mark: str) -> Column:

@@ -1,4 +1,4 @@
-"""What the text operators share: words, word shingles, and batch sizes for Python workers."""
+"""What the text operators share: words, word shingles, and small pieces of batches."""
 
 from __future__ import annotations
 
@@ -13,29 +13,37 @@ from pyspark.sql import functions as F
 # Words are runs of anything but these six ASCII blanks; bytes.split() uses the same six.
 BLANK = r"\x20\x09-\x0D"
 WORD = f"[^{BLANK}]+"
-ROWS_PER_BATCH = 256
+PIECE_ROWS = 256
+PIECE_BYTES = 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
-    """Python workers get at most ``rows`` documents at a time: some documents are very long, so
-    the default of 10,000 rows has no useful bound in bytes."""
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(setting)) <= rows:
-        spark.conf.set(setting, rows)
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = PIECE_ROWS, size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches of a worker in pieces of at most ``rows`` rows, and ``size`` bytes unless one
+    row is longer: what Python makes of a piece is many times its size. Nothing is copied, and no
+    setting of the session is changed."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            waiting = [batch.slice(start, rows)]
+            while waiting:
+                piece = waiting.pop()
+                if piece.num_rows > 1 and piece.nbytes > size:
+                    half = piece.num_rows // 2
+                    waiting += [piece.slice(half), piece.slice(0, half)]
+                else:
+                    yield piece
 
 
 def map_columns(df: DataFrame, columns: list[str], schema: str, make: Callable[..., list]) -> DataFrame:
-    """``make(*lists)`` turns the columns of a batch into rows, one list of tuples."""
-    small_batches(df.sparkSession)
+    """``make(*lists)`` turns the columns of a piece of a batch into rows, one list of tuples."""
     fields = [part.strip().rsplit(" ", 1) for part in schema.split(",")]
     kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             made = make(*(column.to_pylist() for column in batch.columns))
             values = list(zip(*made, strict=True)) if made else [()] * len(fields)
             yield pa.RecordBatch.from_arrays(

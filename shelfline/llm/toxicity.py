@@ -10,16 +10,18 @@ negative, and where a step would push it below zero the step is taken back (the
 correction). The classifier is logistic regression in numpy over the presence of hashed byte
 n-grams of the lower-cased text.
 
-Fitting takes three passes in Spark: document frequencies of all n-grams among the positives and
-the unlabelled (grouped sums), the ``n_features`` n-grams that set the positives apart most, and
-the sparse rows of a bounded sample (``sample_positives``, ``sample_unlabelled`` documents chosen
-by a hash of their id), on which numpy fits the weights on the driver. Scoring reads every whole
-text once.
+The positives are a hash sample of the training rows labelled toxic; the unlabelled rows are a hash
+sample of all documents that are not held out, whatever their labels, which are not read for it.
+The prior is the toxic share of the training labels. Fitting takes two passes over these bounded
+samples (``sample_positives``, ``sample_unlabelled`` documents): document frequencies of all n-grams
+among positives and unlabelled (grouped sums), of which the ``n_features`` that set the positives
+apart most are kept, and the sparse rows, on which numpy fits the weights on the driver. Scoring
+reads every whole text once.
 
 Labels come only from training rows; ids, sources, languages and labels are never features. Nulls:
 a null text is empty and, like an empty one, gets the score of a document without any of the
-n-grams. A null id is scored as any other; it has no label. An empty table has no rows to fit:
-every score is then the prior.
+n-grams. A row without an id is scored as any other; it has no label and is not sampled. An empty
+table has no rows to fit: every score is then the prior.
 """
 
 from __future__ import annotations
@@ -29,10 +31,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.text import map_rows, small_batches
+from shelfline.llm.text import map_rows, pieces
 from shelfline.sources.shared import store
 
 SIZES = (4, 5, 6)
@@ -40,6 +42,7 @@ HASH_BITS = 20
 N_FEATURES = 4096
 SAMPLE_POSITIVES = 6_000
 SAMPLE_UNLABELLED = 30_000
+STEPS = 400
 BLOCK = 1 << 20
 
 
@@ -66,10 +69,12 @@ def ngram_hashes(text: str, sizes: tuple[int, ...] = SIZES, bits: int = HASH_BIT
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the chosen n-grams by their hash, and the bias."""
+    """Weights of the chosen n-grams by their hash, the bias, and in how many steps of the fit the
+    risk on what is not toxic went below zero and was taken back."""
 
     weights: np.ndarray
     bias: float
+    taken_back: int = 0
 
     def score(self, text: str) -> float:
         z = self.bias + float(self.weights[ngram_hashes(text)].sum())
@@ -78,12 +83,11 @@ class Model:
 
 def fit_nnpu(
     positives: list[np.ndarray], unlabelled: list[np.ndarray], n_features: int, prior: float,
-    steps: int = 400, rate: float = 0.05, decay: float = 1e-4, shares: np.ndarray | None = None,
-) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk (logistic loss, Adam steps). ``shares``
-    of the unlabelled rows in their population add up to one; without them all rows count alike."""
-    shares = np.full(len(unlabelled), 1 / len(unlabelled)) if shares is None else shares
-    rows = [*positives, *unlabelled]
+    steps: int = STEPS, rate: float = 0.05, decay: float = 1e-4,
+) -> tuple[np.ndarray, float, int]:
+    """Weights and bias that minimise the non-negative risk (logistic loss, Adam steps), and the
+    number of steps that were taken back."""
+    rows, taken_back = [*positives, *unlabelled], 0
     n_pos, n_all = len(positives), len(rows)
     features = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
     lines = np.repeat(np.arange(n_all), [len(r) for r in rows])
@@ -93,19 +97,20 @@ def fit_nnpu(
         z = b + np.bincount(lines, w[features], n_all)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         zp, zu = z[:n_pos], z[n_pos:]
-        negative_part = shares @ np.logaddexp(0, zu) - prior * np.logaddexp(0, zp).mean()
+        negative_part = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         slope = np.zeros(n_all)  # of the risk by each row's z
         if negative_part >= 0:
             slope[:n_pos] = (prior * (p[:n_pos] - 1) - prior * p[:n_pos]) / n_pos
-            slope[n_pos:] = p[n_pos:] * shares
+            slope[n_pos:] = p[n_pos:] / len(unlabelled)
         else:  # take the step back: climb on the part that went below zero
+            taken_back += 1
             slope[:n_pos] = prior * p[:n_pos] / n_pos
-            slope[n_pos:] = -p[n_pos:] * shares
+            slope[n_pos:] = -p[n_pos:] / len(unlabelled)
         g = np.append(np.bincount(features, slope[lines], n_features) + decay * w, slope.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]
-    return w, float(b)
+    return w, float(b), taken_back
 
 
 def _frequencies(docs: DataFrame, bits: int) -> DataFrame:
@@ -117,7 +122,7 @@ def _frequencies(docs: DataFrame, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << bits), np.int64)
-        for batch in batches:
+        for batch in pieces(batches):
             for text, positive in zip(batch.column("text").to_pylist(), batch.column("positive").to_pylist(), strict=True):
                 counts[0 if positive else 1, ngram_hashes(text or "", bits=bits)] += 1
         seen = np.flatnonzero(counts.any(axis=0))
@@ -133,28 +138,37 @@ def _frequencies(docs: DataFrame, bits: int) -> DataFrame:
 def training_sample(
     docs: DataFrame, labels: DataFrame, sample_positives: int = SAMPLE_POSITIVES, sample_unlabelled: int = SAMPLE_UNLABELLED
 ) -> tuple[DataFrame, float]:
-    """``(text, positive)`` of a bounded sample of the labelled documents that are not held out,
-    and the toxic share of all of them. Labels that repeat an id count as toxic if one does.
+    """``(text, positive)`` of the two bounded samples, and the toxic share of the labels of rows
+    that are not held out. Labels that repeat an id count as toxic if one does. A document may be
+    in both samples, as one row in each.
 
-    The sample is chosen among the ids, below a hash threshold that lets about the wanted number
-    pass, so its ids can be broadcast: their number is bounded by the two parameters.
+    Positives are chosen among the ids, below a hash threshold that lets about the wanted number
+    pass: their number is bounded by the parameter, so they are broadcast and the texts are read in
+    one scan for both samples.
     """
+
+    def share(salt: int, *columns: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(salt), *columns), F.lit(1 << 30)) / float(1 << 30)
+
     marked = labels.where(F.col("doc_id").isNotNull() & ~held_out_rows()).groupBy("doc_id").agg(
-        F.coalesce(F.max("toxic") == 1, F.lit(False)).alias("positive")
+        F.coalesce(F.max("toxic") == 1, F.lit(False)).alias("toxic")
+    )
+    sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n_pos, n_marked = sizes.get(True, 0), sum(sizes.values())
+    chosen = marked.where(F.col("toxic") & (share(17, "doc_id") < sample_positives / max(1, n_pos))).select("doc_id", F.lit(True).alias("toxic"))
+    training = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & ~held_out_rows())
+    in_unlabelled = share(18, "doc_id", "text") < sample_unlabelled / max(1, docs.count())
+    kinds = F.concat(
+        F.when(F.col("toxic"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")),
+        F.when(in_unlabelled, F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>")),
     )
-    sizes = {r["positive"]: r["n"] for r in marked.groupBy("positive").agg(F.count("*").alias("n")).collect()}
-    n_pos, n_unl = sizes.get(True, 0), sizes.get(False, 0)
-    share = F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    wanted = F.when(F.col("positive"), sample_positives / max(1, n_pos)).otherwise(sample_unlabelled / max(1, n_unl))
-    chosen = marked.where(share < wanted)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "positive")
-    return store(texts, "toxicity-sample"), n_pos / max(1, n_pos + n_unl)
+    texts = training.join(F.broadcast(chosen), "doc_id", "left").select("text", F.explode(kinds).alias("positive"))
+    return store(texts, "toxicity-sample"), n_pos / max(1, n_marked)
 
 
 def fit(sample: DataFrame, prior: float, n_features: int = N_FEATURES, bits: int = HASH_BITS) -> Model:
-    """``sample`` has ``(text, positive)``: true for confirmed toxic documents, else unlabelled.
+    """``sample`` has ``(text, positive)``: true for confirmed toxic documents, false for unlabelled.
     ``prior`` is the toxic share of the documents that will be scored."""
-    small_batches(sample.sparkSession)
     kept = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     if not kept.get(True) or not kept.get(False):
         return Model(np.zeros(1 << bits, np.float32), float(np.log((prior + 1e-6) / (1 - prior + 1e-6))))
@@ -178,16 +192,12 @@ def fit(sample: DataFrame, prior: float, n_features: int = N_FEATURES, bits: int
     for positive, features in rows:
         sparse[positive].append(np.frombuffer(bytes(features), "<i4"))
     weights = np.zeros(1 << bits, np.float32)
-    # Unlabelled rows include toxic ones; the positives themselves are part of that population. The
-    # two may be cut by different factors, so each is weighed by its share of the population.
-    others, toxic = len(sparse[False]), len(sparse[True])
-    shares = np.repeat([(1 - prior) / others, prior / toxic], [others, toxic])
-    w, bias = fit_nnpu(sparse[True], sparse[False] + sparse[True], max(1, len(hashes)), prior, shares=shares)
+    w, bias, taken_back = fit_nnpu(sparse[True], sparse[False], max(1, len(hashes)), prior)
     weights[hashes] = w[: len(hashes)]
-    return Model(weights, bias)
+    return Model(weights, bias, taken_back)
 
 
-def held_out_rows(column: str = "doc_id"):
+def held_out_rows(column: str = "doc_id") -> Column:
     """True for the rows kept for judging: remainder 2 of the id's CRC-32 by 4."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 

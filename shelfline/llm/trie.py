@@ -257,8 +257,10 @@ SUMS = ("arcs", "leaves", "saved")
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums before every arc of a whole list; one task, ``TAIL_ARCS`` rows at most."""
-    table = pa.Table.from_batches(list(batches))
-    rows = {arc: (after, weights) for arc, after, *weights in zip(*(table.column(c).to_pylist() for c in ("arc", "after", *SUMS)), strict=True)}
+    rows = {}
+    for batch in batches:
+        for arc, after, *weights in zip(*(batch.column(c).to_pylist() for c in ("arc", "after", *SUMS)), strict=True):
+            rows[arc] = after, weights
     out, sums = [], np.zeros(len(SUMS), np.int64)
     arc = next(iter(set(rows) - {after for after, _ in rows.values()}), None)
     while arc is not None:

@@ -53,11 +53,48 @@ def test_random_texts(codec, reference):
 
 
 def test_full_tables_start_over(codec, reference, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_CHUNKS", 3)
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 1000)
     for text in ("some words here", "and others there", "some words here again"):
         assert ids(codec, text) == reference.encode(text, add_special_tokens=False).ids
 
 
+def test_tables_stay_within_their_bytes(codec):
+    """Chunks of 64 thousand letters leave nothing behind, short ones no more than the stated bytes and
+    what one call adds."""
+    r = random.Random(1)
+    codec._empty_tables()
+    for _ in range(3):
+        codec.encode(" ".join("".join(r.choices("abcdefgh", k=1 << 16)) for _ in range(2)))
+    assert max(map(len, codec.chunks), default=0) <= bpe.KEPT_CHARS and len(codec.chunks) < 10
+    assert codec.kept_bytes < 10_000
+
+
+def test_many_special_tokens_in_a_row(codec, reference):
+    import time
+
+    text = "<|endoftext|>" * 100_000 + "a<|startoftext|>b<|" * 1000
+    start = time.time()
+    made = ids(codec, text)
+    assert time.time() - start < 3 and made == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_one_long_word(codec, reference):
+    import time
+
+    word = "".join(random.Random(2).choices("etaoinshrdlu", k=300_000))
+    start = time.time()
+    made = ids(codec, word)
+    assert time.time() - start < 6 and made == reference.encode(word, add_special_tokens=False).ids
+
+
+def test_blocks_do_not_change_ids(codec, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 7)
+    r = random.Random(3)
+    for _ in range(300):
+        text = "".join(r.choices(["ab", "C", " ", "\n", "\u3000", "<|endoftext|>", ".", "\x1c", "é"], k=r.randrange(30)))
+        assert ids(codec, text) == reference.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_query_equals_the_library(spark, reference):
     docs = {x.doc_id: x.text or "" for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     found = queries.op4_bpe(spark, "/root/testdata/sf0.001").collect()

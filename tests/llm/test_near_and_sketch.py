@@ -107,10 +107,33 @@ def test_odd_rows(odd_docs, no_docs):
     kept = simhash.one_per_group(odd_docs)
     assert kept.columns == odd_docs.columns
     ids = [x.doc_id for x in kept.select("doc_id").collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 4, 6, 7, 8, 9] and ids.count(None) == 2
+    # The row without id and text is a copy of the empty ones; the other one has a text of its own.
+    assert sorted(i for i in ids if i is not None) == [1, 4, 6, 7, 8, 9] and ids.count(None) == 1
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.one_per_group(no_docs).count() == 0
 
 
+def test_one_per_group_judges_rows(make_docs):
+    """Different texts under one id all stay, copies under any id do not; of equal rows one stays."""
+    r = random.Random(4)
+    a, b, c = (prose(r, 30) for _ in range(3))
+    docs = make_docs([(1, a), (1, b), (2, a), (3, c), (3, c), (None, c), (None, "alone " * 9), (None, "alone " * 9), (4, b)])
+    kept = simhash.one_per_group(docs)
+    assert sorted((x.doc_id or 0, x.text) for x in kept.collect()) == sorted([(1, a), (1, b), (3, c), (0, "alone " * 9)])
+
+
+def test_one_per_group_equals_brute_force(make_docs):
+    r = random.Random(6)
+    texts = [prose(r, 40) for _ in range(60)]
+    for _ in range(140):
+        words = texts[r.randrange(60)].split()
+        if r.random() < 0.5:
+            words[r.randrange(len(words))] = "changed"
+        texts.append(" ".join(words))
+    ids = r.sample(range(1000), len(texts))
+    kept = {x.doc_id for x in simhash.one_per_group(make_docs(list(zip(ids, texts, strict=True))), shard_rows=20).collect()}
+    assert kept == set(plain_components(ids, [plain_simhash(t) for t in texts]))
+
+
 # ---- sketches -------------------------------------------------------------------------------
 
 

@@ -6,9 +6,11 @@ import hashlib
 import random
 import re
 
+import pytest
 from llm_data import make_docs, no_docs, odd_docs  # noqa: F401
+from pyspark.sql import functions as F
 
-from shelfline.llm import pii, queries, secrets
+from shelfline.llm import pii, queries, secrets, spans
 
 LONG = ["x@y.zz " * 2000, "a" * 60_000, "1" * 60_000, "1 " * 20_000, "a@b" + ".c" * 20_000, "1." * 20_000, "token=abcdefg " * 3000, "AKIA" * 20_000]
 
@@ -81,11 +83,12 @@ def test_bootstrapping_discovers_what_seeds_announce(make_docs):
     texts += [f"bearer Q{4 * i}Z came" for i in range(14)] + ["bearer X77Y came", "the 12 of the 15, the 4", "version 2.0 of the text"] + ["the plain text"] * 30
     docs = make_docs(texts)
     found = pii.scan(docs)
-    assert set(pii.bootstrap(found, docs, rounds=1)) == {"badge"}
-    assert set(pii.bootstrap(found, docs)) == {"badge", "bearer"}
+    words = lambda passed: {p for p in passed if p.endswith(" _") and p.count(" ") == 1}
+    assert words(pii.bootstrap(found, docs, rounds=1)) == {"badge _"}
+    assert words(pii.bootstrap(found, docs)) == {"badge _", "bearer _"}
     spans = {x.doc_id: x.spans for x in pii.digests(pii.find_personal_data(docs)).collect()}
     assert spans[0] == "context:20:23" and spans[74] == "context:7:11" and spans[75] == "" and spans[76] == ""
-    red = {x.doc_id: x.text for x in pii.redact_personal_data(docs, ["badge"]).collect()}
+    red = {x.doc_id: x.text for x in pii.redact_personal_data(docs, ["badge _"]).collect()}
     assert red[0] == "line of text, badge [PRIVATE] and the end" and red[1] == "line of text, badge [PRIVATE] and the end"
 
 
@@ -94,14 +97,15 @@ def test_rare_patterns_are_counted_in_a_large_corpus(spark):
     rare = [(7 * i, f"here cue{i % 100} bob{i}@mail.example.com") for i in range(500)]
     plain = spark.range(100_000, 160_000).selectExpr("id AS doc_id", "'the plain text' AS text")
     docs = spark.createDataFrame(rare, "doc_id long, text string").unionByName(plain)
-    assert set(pii.bootstrap(pii.scan(docs), docs)) == {f"cue{i}" for i in range(100)}
+    found = set(pii.bootstrap(pii.scan(docs), docs))
+    assert found >= {f"cue{i} _" for i in range(100)} | {f"here cue{i} _" for i in range(100)}
 
 
 def test_support_does_not_rise_with_the_corpus(make_docs):
     """``clerk`` has 6 of 9,006 believed links, less than one in a thousand, and a score of one."""
     hot = [(i, f"write {' '.join(f'badge bob{i}x{j}@mail.example.com' for j in range(50))} now") for i in range(180)]
     docs = make_docs([*hot, *((1000 + i, f"clerk ann{i}@mail.example.com") for i in range(6)), (None, "clerk Q7Z"), (None, "badge Q8Z")])
-    assert set(pii.bootstrap(pii.scan(docs), docs)) == {"badge", "clerk"}
+    assert {"badge _", "clerk _"} <= set(pii.bootstrap(pii.scan(docs), docs))
     spans = [x.spans for x in pii.digests(pii.find_personal_data(docs)).where("doc_id IS NULL").collect()]
     assert spans == ["context:6:9"] * 2
 
@@ -117,6 +121,98 @@ def test_words_before_are_whole(make_docs):
     assert [m.left for m in spaced.card] == ["card--no..x"]
 
 
+def plain_patterns(occurrences, texts, rounds=3):
+    """``occurrences``: (patterns, instance, seed) of every match. The rounds of belief in plain Python."""
+    links, beside = {}, {}
+    for patterns, instance, seed in occurrences:
+        for p in patterns:
+            links.setdefault(p, {})[instance] = links.get(p, {}).get(instance, False) or seed
+            beside[p] = beside.get(p, 0) + 1
+    written = {}
+    for text in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+        for p in [*(f"{w} _" for w in words), *(f"_ {w}" for w in words), *(f"{v} {w} _" for v, w in zip(words, words[1:]))]:
+            written[p] = written.get(p, 0) + 1
+    allowed = {p for p, found in links.items() if len(found) >= 5 and (p not in written or beside[p] >= 0.3 * written[p])}
+    seeds = {i for p in allowed for i, seed in links[p].items() if seed}
+    belief, passed = dict.fromkeys(seeds, 1.0), {}
+    for _ in range(rounds):
+        passed = {}
+        for p in allowed:
+            values = [belief.get(i, 0.0) for i in links[p]]
+            if sum(v >= 0.6 for v in values) >= 5 and sum(values) / len(values) >= 0.6:
+                passed[p] = sum(values) / len(values)
+        belief = dict.fromkeys(seeds, 1.0)
+        for p, score in passed.items():
+            for i, seed in links[p].items():
+                if not seed and i not in seeds:
+                    belief[i] = max(belief.get(i, 0.0), score)
+    return set(passed)
+
+
+def plain_shape(value):
+    return re.sub("[0-9]", "9", re.sub("[a-zé]+", "a", re.sub("[A-Z]+", "A", value)))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_patterns_equal_a_plain_scorer(make_docs, seed):
+    """Random texts of cues, seeds and codes, one match in each pair of words around it."""
+    r = random.Random(seed)
+    cues, texts, occurrences = ["badge", "id", "clerk", "the", "of"], [], []
+    for _ in range(300):
+        value, is_seed = r.choice([(f"bob{r.randrange(12)}@mail.example.com", True), (f"Q{r.randrange(40)}Z", False), (f"{r.randrange(30)}", False)])
+        if is_seed and r.random() < 0.5:
+            cue = "badge"
+        else:
+            cue = r.choice(cues)
+        before, after = r.choice(["see", "my", "a"]), r.choice(["came", "went", "and"])
+        texts.append(f"{before} {cue} {value} {after} {r.choice(cues)} on")
+        shaped = f"[{plain_shape(value)}]"
+        occurrences.append(([f"{cue} _", f"{before} {cue} _", f"_ {after}", shaped, f"{cue} {shaped}"], value, is_seed))
+    docs = make_docs(texts)
+    assert set(pii.bootstrap(pii.scan(docs), docs)) == plain_patterns(occurrences, texts)
+
+
+def test_words_around_matches(make_docs):
+    texts = ["go to  my\tHome 10.1.2.3, then 10.1.2.4 stop", "10.1.2.3", "one 10.1.2.3\n", "a b \tc 10.1.2.3glued on"]
+    found = {x.doc_id: x.ip for x in pii.scan(make_docs(texts)).collect()}
+    assert [(m.left, m.left2, m.right) for i in range(4) for m in found[i]] == [
+        ("home", "my home", "then"), ("then", ", then", "stop"), ("", "", ""), ("one", "", ""), ("c", "", ""),
+    ]
+
+
+def test_one_very_long_text_of_matches(make_docs):
+    """40,000 emails and as many numbers in one text: places are found in near linear time."""
+    import time
+
+    text = " ".join(f"u{i}@mail.example.com {i}" for i in range(40_000))
+    secret = " ".join(f"token=abcdef{i} someplainidentifier{i % 10}" for i in range(40_000))
+    docs = make_docs([text, secret])
+    start = time.time()
+    found = {x.doc_id: x for x in pii.scan(docs).collect()}
+    assert (len(found[0].email), len(found[0].tokens)) == (40_000, 40_000) and time.time() - start < 60
+    assert [(m.start, m.end) for m in found[0].email] == [(m.start(), m.end()) for m in re.finditer(r"\S+@\S+", text)]
+    start = time.time()
+    hidden = {x.doc_id: x for x in secrets.scan(docs).collect()}
+    assert (len(hidden[1].assign), len(hidden[1].tokens)) == (40_000, 40_000) and time.time() - start < 60
+
+
+def test_matches_outside_spans(spark):
+    """Binary search against the plain test, on random spans."""
+    r = random.Random(5)
+
+    def some(n):
+        cuts = sorted(r.sample(range(300), 2 * n))
+        return [(cuts[i], cuts[i + 1]) for i in range(0, 2 * n, 2)]
+
+    rows = [(i, some(r.randrange(20)), some(r.randrange(20)), some(r.randrange(20))) for i in range(200)]
+    kind = "array<struct<start:int,end:int>>"
+    df = spark.createDataFrame(rows, f"i int, found {kind}, a {kind}, b {kind}")
+    for x in df.withColumn("left", spans.outside(F.col("found"), F.col("a"), F.col("b"))).collect():
+        clear = lambda m: not any(s[0] < m[1] and s[1] > m[0] for s in [*x.a, *x.b])
+        assert [tuple(m) for m in x.left] == [tuple(m) for m in x.found if clear(m)]
+
+
 def test_secrets_equal_brute_force(make_docs):
     docs = make_docs([*mixed(SECRET_PIECES, 2), *((10_000 + i, t) for i, t in enumerate(LONG)), (-1, None), (-2, "")])
     assert_base(docs, secrets.digests(secrets.find_secrets(docs)), plain_secrets)
