@@ -5,9 +5,11 @@ Parquet to the shared folder and reads it again for the next stage. All but the
 columns of ``documents``.
 
 1. quality classifier: documents scored below one half go;
-2. SimHash near-dedup: one document of each group of linked fingerprints stays;
+2. SimHash near-dedup: one document of each group of linked fingerprints stays (four-word
+   shingles, four bits, as the operator's contract has it);
 3. secret scans: the secrets found in texts are replaced by a mark, ``n_chars`` follows;
-4. mixing: documents that fit the token budget by domain, language and source stay, each once;
+4. mixing: every document stays; documents of domains, languages and sources below their target
+   weights are read a second time, as far as the weights ask for it;
 5. BPE: token ids of what is left, with the digest of the decoded ids.
 
 A null text passes as an empty one. An empty table gives an empty result.
@@ -15,8 +17,6 @@ A null text passes as an empty one. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +24,6 @@ from shelfline.llm import bpe, mixing, quality, secrets, simhash
 from shelfline.sources.shared import store
 
 TOKENIZER = "word_bpe_49k.json"
-MIX = replace(mixing.MIX, max_epochs=1)
-MIX_SHARE = 0.9  # of the tokens that are left
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +39,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.take_mix(docs, MIX_SHARE, MIX)
+    return mixing.take_mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
