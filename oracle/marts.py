@@ -268,6 +268,11 @@ FROM longest l LEFT JOIN products p ON p.sku_id = l.sku_id WHERE n >= 3""", *inv
     }
     q["mart_manifest"] = query(" UNION ALL ".join(
         f"SELECT '{name}' AS table_name, CAST(({one}) AS BIGINT) AS rows" for name, one in counted.items()), "suppliers", *EVERYTHING)
+    q["reloaded_months"] = query("""
+SELECT 'sales' AS table_name, strftime(date, '%Y-%m') AS month, count(*) AS rows,
+       CAST(sum(units_sold * CASE WHEN strftime(date, '%Y-%m') >= '1998-01' THEN 2 ELSE 1 END) AS BIGINT) AS total FROM sales GROUP BY 2
+UNION ALL SELECT 'orders', strftime(order_date, '%Y-%m'), count(*), CAST(sum(order_qty) AS BIGINT) FROM orders_placed GROUP BY 2""",
+                                 "sales", "orders_placed")
     q["load_manifest"] = query(" UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS rows FROM {table}" for name, table in (
             ("dim_suppliers", "suppliers"), ("dim_products", "products"), ("fact_sales", "sales"),

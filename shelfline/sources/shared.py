@@ -44,12 +44,3 @@ def discard(*tables: DataFrame) -> None:
         context = table.sparkSession.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read back from the shared folder, on any number of executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()

@@ -59,6 +59,30 @@ def test_exact_quantiles_match_numpy(spark, hot):
         assert got[share] == pytest.approx(np.quantile(values, share)), share
 
 
+@pytest.mark.parametrize("digits", [16, 4096])
+def test_quantiles_settle_by_digits(spark, digits, monkeypatch):
+    """A million different values over twenty orders of magnitude: cells are cut until they hold
+    few rows, and no more than those are fetched."""
+    from shelfline.functions import quantiles
+
+    df = spark.range(1_000_000).selectExpr("if(id % 2 = 0, id, pow(10, 20 * id / 1000000.0)) x")
+    passes = []
+    refine = quantiles._refine
+    monkeypatch.setattr(quantiles, "_refine", lambda v, ranges, ranks, d: passes.append([r.rows for r in ranges]) or refine(v, ranges, ranks, d))
+    shares = [0.1, 0.5, 0.9]
+    got = {r.share: r.value for r in exact_quantiles(df, "x", shares, few=200, digits=digits).collect()}
+    i = np.arange(1_000_000)
+    values = np.where(i % 2 == 0, i.astype(float), 10.0 ** (20 * i / 1_000_000.0))
+    for share in shares:
+        assert got[share] == pytest.approx(np.quantile(values, share), rel=1e-9), share
+    assert 1 < len(passes) <= 25 and passes[0] == [1_000_000]
+    assert all(sum(after) < sum(before) for before, after in zip(passes, passes[1:]))
+
+
+def test_quantiles_of_nothing(spark):
+    assert exact_quantiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5]).count() == 0
+
+
 def test_quantiles_of_one_value(spark):
     got = exact_quantiles(spark.createDataFrame([(4.0,)], "x double"), "x", [0.25, 0.75]).collect()
     assert sorted((r.share, r.value) for r in got) == [(0.25, 4.0), (0.75, 4.0)]

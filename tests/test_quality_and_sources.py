@@ -92,6 +92,25 @@ def test_star_round_trip(spark, make_star, fmt):
         assert sorted(map(str, getattr(back, name).drop(dates.PARTITION).collect())) == sorted(map(str, getattr(star, name).collect())), name
 
 
+def test_a_month_loaded_again_replaces_itself_alone(spark, make_star):
+    import pathlib
+
+    star = make_star([product("a")], [supplier("s1")], [sale("a", n, 1) for n in (0, 40, 80)], [], [order("o", 40)])
+    folder = new_folder(spark, "test")
+    sinks.load_facts(star, folder)
+    files = lambda: {p: p.stat().st_mtime_ns for p in pathlib.Path(f"{folder}/fact_sales").rglob("*.parquet")}
+    before = files()
+    again = make_star([product("a")], [supplier("s1")], [sale("a", 40, 7), sale("a", 41, 8)], [], [order("o", 40)])
+    sinks.load_facts(again, folder, "2024-02")
+    after = files()
+    kept = {p for p in before if "2024-02" not in str(p)}
+    assert len(kept) == 2 and all(after.get(p) == before[p] for p in kept) and set(after) - set(before)
+    back = tables.read_star(spark, folder)
+    assert sorted(r.units_sold for r in back.sales.collect()) == [1, 1, 7, 8] and back.orders.count() == 1
+    sinks.load_facts(again, folder, "2024-02")
+    assert spark.read.parquet(f"{folder}/fact_sales").count() == 4
+
+
 def test_csv_columns_by_name(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text("category,sku_id,unit_price,other\nOffice,a,24.99,zzz\n")
