@@ -166,13 +166,18 @@ def announcing_patterns(links: DataFrame, docs: DataFrame, text_col: str = "text
     )
     wordy = candidates.where(of_words(F.col("pattern"))).select("pattern", "beside")
     words = docs.select(F.regexp_extract_all(F.lower(empty_text(text_col)), F.lit(WORD), F.lit(0)).alias("w"))
-    written = F.concat(
-        F.transform("w", lambda x: F.concat(x, F.lit(" _"))), F.transform("w", lambda x: F.concat(F.lit("_ "), x)),
-        F.zip_with(F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", F.lit(2), F.size("w")), lambda x, y: F.concat(x, F.lit(" "), y, F.lit(" _"))),
+    pairs = words.select(F.inline(F.arrays_zip(F.col("w").alias("word"), F.slice("w", F.lit(2), F.size("w")).alias("next"))))
+    written = F.array(
+        F.concat("word", F.lit(" _")), F.concat(F.lit("_ "), "word"), F.concat_ws(" ", "word", "next", F.when(F.col("next").isNotNull(), F.lit("_"))),
     )
-    every = words.select(F.explode(written).alias("pattern"))
     if wordy.count() <= SMALL_TABLE:
-        every = every.join(F.broadcast(wordy.select("pattern")), "pattern", "left_semi")
+        # Only words that begin a candidate are spelled out as patterns.
+        after = ~F.col("pattern").endswith(" _")
+        begins = wordy.select(F.when(after, F.substring("pattern", 3, 1 << 30)).otherwise(F.substring_index("pattern", " ", 1)).alias("word")).distinct()
+        pairs = pairs.join(F.broadcast(begins), "word", "left_semi")
+        every = pairs.select(F.explode(written).alias("pattern")).join(F.broadcast(wordy.select("pattern")), "pattern", "left_semi")
+    else:
+        every = pairs.select(F.explode(written).alias("pattern"))
     counted = every.groupBy("pattern").agg(F.count("*").alias("occurring")).join(wordy, "pattern")
     specific = counted.where(F.col("beside") >= SPECIFIC * F.col("occurring")).select("pattern")
     return specific.unionByName(candidates.where(~of_words(F.col("pattern"))).select("pattern"))
