@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.spans import AROUND, SPAN, as_spans, joined, matches, outside, redact
 from shelfline.llm.text import BLANK, WORD, empty_text
-from shelfline.sources.shared import store
+from shelfline.sources.shared import discard, store
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "A-Za-z0-9._%+-"
@@ -197,12 +197,15 @@ def passed_patterns(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS) ->
     graph = store(pattern_graph(found), "graph")
     links = store(graph.join(announcing_patterns(graph, docs), "pattern").drop("times"), "links")
     seeds = links.where("seed").select("instance").distinct().withColumn("belief", F.lit(1.0))
-    believed, accepted = seeds, links.limit(0)
+    believed, accepted, tables = seeds, links.limit(0), []
     for _ in range(rounds):
         accepted = store(score_patterns(links, believed), "patterns")
         # Patterns of one place are no independent witnesses, so the best of them counts.
         derived = links.where(~F.col("seed")).join(accepted, "pattern").groupBy("instance").agg(F.max("score").alias("belief"))
+        done = tables
         believed = store(seeds.unionByName(derived.join(seeds.select("instance"), "instance", "left_anti")), "believed")
+        tables = [accepted, believed]
+        discard(*done)
     return accepted.select("pattern")
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.text import map_rows, shingle_hashes
-from shelfline.sources.shared import store
+from shelfline.sources.shared import discard, store
 
 BITS = 64
 LEAF = 48
@@ -79,9 +79,12 @@ def build_tree(points: np.ndarray, rows: np.ndarray) -> tuple:
     return vantage, edge, build_tree(points, rows[near]), build_tree(points, rows[~near])
 
 
-def query_tree(node: tuple, points: np.ndarray, queries: np.ndarray, asked: np.ndarray, radius: int) -> Iterator[tuple]:
+def query_tree(
+    node: tuple, points: np.ndarray, queries: np.ndarray, asked: np.ndarray, radius: int, labels: np.ndarray | None = None
+) -> Iterator[tuple]:
     """``(query rows, point rows)`` of all pairs within ``radius``; a batch of queries goes down
-    together and splits at each node."""
+    together and splits at each node. With ``labels``, one per point where the points are the
+    queries too, pairs of equal labels are passed over; the labels may change between batches."""
     if not len(asked):
         return
     if len(node) == 1:
@@ -89,38 +92,51 @@ def query_tree(node: tuple, points: np.ndarray, queries: np.ndarray, asked: np.n
         step = max(1, (1 << 20) // max(1, len(rows)))
         for start in range(0, len(asked), step):
             part = asked[start : start + step]
-            q, p = np.nonzero(np.bitwise_count(queries[part][:, None] ^ points[rows][None, :]) <= radius)
+            if labels is not None:
+                part = part[(labels[part] != labels[rows[0]]) | (labels[rows] != labels[rows[0]]).any()]
+            near = np.bitwise_count(queries[part][:, None] ^ points[rows][None, :]) <= radius
+            if labels is not None:
+                near &= labels[part][:, None] != labels[rows][None, :]
+            q, p = np.nonzero(near)
             yield part[q], rows[p]
         return
     vantage, edge, inside, outside = node
     distance = np.bitwise_count(queries[asked] ^ vantage).astype(np.int16)
-    yield from query_tree(inside, points, queries, asked[distance <= edge + radius], radius)
-    yield from query_tree(outside, points, queries, asked[distance > edge - radius], radius)
+    yield from query_tree(inside, points, queries, asked[distance <= edge + radius], radius, labels)
+    yield from query_tree(outside, points, queries, asked[distance > edge - radius], radius, labels)
 
 
-def spanning_links(points: np.ndarray, ids: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
-    """Links ``(id, smallest id of its piece)`` that connect what is linked within a task.
-    ``home`` marks the points in the tree; all points are queries."""
-    parent = np.arange(len(points))
+def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Gives all points whose labels are linked by the pairs ``(a, b)`` the smallest of these
+    labels, in place."""
+    first, second = labels[a], labels[b]
+    parent = np.arange(len(labels))
+    while True:
+        x, y = parent[first], parent[second]
+        apart = x != y
+        if not apart.any():
+            break
+        first, second, lowest = first[apart], second[apart], np.minimum(x, y)[apart]
+        np.minimum.at(parent, x[apart], lowest)
+        np.minimum.at(parent, y[apart], lowest)
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+    labels[:] = parent[labels]
 
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
 
+def spanning_links(points: np.ndarray, ids: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
+    """Links ``(id, smallest id of its piece)`` that connect what is linked within a task.
+    ``home`` marks the points in the tree; all points are queries. Pairs within a component that is
+    known already are not listed, so a large cluster costs comparisons of bits and little else."""
+    order = np.argsort(ids, kind="stable")
+    points, ids, home = points[order], ids[order], home[order]
+    labels = np.arange(len(points))
     tree = build_tree(points, np.flatnonzero(home))
-    for asked, found in query_tree(tree, points, points, np.arange(len(points)), radius):
-        new = ids[asked] != ids[found]
-        for a, b in zip(asked[new].tolist(), found[new].tolist(), strict=True):
-            a, b = root(a), root(b)
-            if a != b:
-                if ids[a] < ids[b]:
-                    a, b = b, a
-                parent[a] = b
-    roots = np.array([root(i) for i in range(len(points))], np.int64) if len(points) else parent
-    moved = ids[roots] != ids
-    return np.stack([ids[moved], ids[roots][moved]], axis=1)
+    for asked, found in query_tree(tree, points, points, np.arange(len(points)), radius, labels):
+        if len(asked):
+            merge_labels(labels, asked, found)
+    moved = ids[labels] != ids
+    return np.stack([ids[moved], ids[labels][moved]], axis=1)
 
 
 def _links_of_pieces(radius: int):
@@ -253,7 +269,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = stars(both).where("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b")).distinct()
         starred = stars(large)
         small = starred.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        current = store(small.unionByName(starred.select("a", F.col("m").alias("b"))).distinct(), "links")
+        done, current = current, store(small.unionByName(starred.select("a", F.col("m").alias("b"))).distinct(), "links")
+        discard(done)
 
 
 def near_duplicates(

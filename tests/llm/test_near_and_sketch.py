@@ -92,6 +92,39 @@ def test_tree_finds_every_neighbour():
     assert pairs == set(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_spanning_links_equal_brute_force(seed):
+    """Clusters, chains and lone points; only some of the points are in the tree."""
+    r = random.Random(seed)
+    points = list({r.getrandbits(64) for _ in range(40)} | {r.getrandbits(9) for _ in range(150)} | {(0b11111 << (4 * i)) for i in range(12)})
+    ids = r.sample(range(5000), len(points))
+    home = np.array([r.random() < (1 if seed % 2 else 0.6) for _ in points])
+    found = simhash.spanning_links(np.array(points, np.uint64), np.array(ids, np.int64), home, 4)
+    parent = {k: k for k in ids}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for i, p in enumerate(points):
+        for j, q in enumerate(points):
+            if home[j] and (p ^ q).bit_count() <= 4:
+                a, b = sorted((root(ids[i]), root(ids[j])))
+                parent[b] = a
+    assert dict(found.tolist()) == {k: root(k) for k in ids if root(k) != k}
+
+
+def test_one_large_cluster_in_a_task():
+    """20,000 different fingerprints that are all linked, each to many others."""
+    import time
+
+    points = np.random.default_rng(1).permutation(1 << 15)[:20_000].astype(np.uint64)
+    start = time.time()
+    found = simhash.spanning_links(points, np.arange(20_000), np.ones(20_000, bool), 4)
+    assert time.time() - start < 30 and len(found) == 19_999 and (found[:, 1] == 0).all()
+
+
 def test_query_equals_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     prints = [plain_simhash(t or "") for _, t in rows]
