@@ -7,8 +7,8 @@ class prior ``p`` the risk of a classifier is
 
 where the second part estimates the risk on the documents that are not toxic; it cannot be
 negative, and where a step would push it below zero the step is taken back (the non-negative
-correction). The classifier is logistic regression in numpy over the presence of hashed byte
-n-grams of the lower-cased text.
+correction). The classifier is a linear one in numpy, over the presence of hashed byte n-grams of
+the lower-cased text, with the sigmoid loss.
 
 The positives are a hash sample of the training rows labelled toxic; the unlabelled rows are a hash
 sample of all documents that are not held out, whatever their labels, which are not read for it.
@@ -83,34 +83,38 @@ class Model:
 
 def fit_nnpu(
     positives: list[np.ndarray], unlabelled: list[np.ndarray], n_features: int, prior: float,
-    steps: int = STEPS, rate: float = 0.05, decay: float = 1e-4,
+    steps: int = STEPS, rate: float = 0.05, decay: float = 1e-4, caution: float = 0.1,
 ) -> tuple[np.ndarray, float, int]:
-    """Weights and bias that minimise the non-negative risk (logistic loss, Adam steps), and the
-    number of steps that were taken back."""
+    """Weights and bias that minimise the non-negative risk (sigmoid loss, Adam steps), and the
+    number of steps that were taken back. Such steps are ``caution`` times as long as others; the
+    result is the mean over the second half of the steps, around which the two kinds alternate."""
     rows, taken_back = [*positives, *unlabelled], 0
     n_pos, n_all = len(positives), len(rows)
     features = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
     lines = np.repeat(np.arange(n_all), [len(r) for r in rows])
-    w, b = np.zeros(n_features), 0.0
+    w, b = np.zeros(n_features), float(np.log((prior + 1e-6) / (1 - prior + 1e-6)))
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
+    mean = np.zeros(n_features + 1)
     for step in range(1, steps + 1):
         z = b + np.bincount(lines, w[features], n_all)
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        zp, zu = z[:n_pos], z[n_pos:]
-        negative_part = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        slope = np.zeros(n_all)  # of the risk by each row's z
+        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))  # the loss of calling a row toxic; 1 - p that of not
+        rise = p * (1 - p)
+        negative_part = p[n_pos:].mean() - prior * p[:n_pos].mean()
+        slope, length = np.zeros(n_all), rate  # of the risk by each row's z
         if negative_part >= 0:
-            slope[:n_pos] = (prior * (p[:n_pos] - 1) - prior * p[:n_pos]) / n_pos
-            slope[n_pos:] = p[n_pos:] / len(unlabelled)
+            slope[:n_pos] = -2 * prior * rise[:n_pos] / n_pos
+            slope[n_pos:] = rise[n_pos:] / len(unlabelled)
         else:  # take the step back: climb on the part that went below zero
-            taken_back += 1
-            slope[:n_pos] = prior * p[:n_pos] / n_pos
-            slope[n_pos:] = -p[n_pos:] / len(unlabelled)
+            taken_back, length = taken_back + 1, rate * caution
+            slope[:n_pos] = prior * rise[:n_pos] / n_pos
+            slope[n_pos:] = -rise[n_pos:] / len(unlabelled)
         g = np.append(np.bincount(features, slope[lines], n_features) + decay * w, slope.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
+        move = length * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]
-    return w, float(b), taken_back
+        if 2 * step > steps:
+            mean += np.append(w, b) / (steps - steps // 2)
+    return mean[:-1], float(mean[-1]), taken_back
 
 
 def _frequencies(docs: DataFrame, bits: int) -> DataFrame:
