@@ -33,8 +33,8 @@ from shelfline.llm.text import map_columns, map_rows
 
 LONG_WORD = 64
 KEPT_CHARS = 64  # longer chunks and words are encoded each time
-KEPT_BYTES = 96 << 20
-ENTRY_BYTES = 320  # of a table's entry beside what it says
+KEPT_BYTES = 192 << 20
+ENTRY_BYTES = 240  # of a table's entry beside what it says
 BLOCK_CHARS = 1 << 20
 NO_RANK = 1 << 30
 
