@@ -14,6 +14,7 @@ from shelfline import labels
 from shelfline.functions.dates import last_day, on_day, since
 from shelfline.functions.numeric import mean, moments, sample_deviation
 from shelfline.operators.stockouts import stockout_runs
+from shelfline.plans.facts import days_in, days_with
 from shelfline.schemas import ALERTS
 from shelfline.star import Star
 
@@ -53,7 +54,7 @@ def stockout_alerts(inventory: DataFrame, products: DataFrame, t: Thresholds = T
     if consecutive:
         days = stockout_runs(inventory).groupBy("sku_id").agg(F.max("consecutive_days").alias("stockout_days"))
     else:
-        days = inventory.where("stockout_flag").groupBy("sku_id").agg(F.count(F.lit(1)).alias("stockout_days"))
+        days = inventory.where("stockout_flag").groupBy("sku_id").agg(days_in(inventory).alias("stockout_days"))
     critical = F.col("stockout_days") >= t.stockout_days_critical
     return (
         days.where(F.col("stockout_days") >= t.stockout_days_high)
@@ -115,7 +116,7 @@ def service_level_alerts(inventory: DataFrame, products: DataFrame, t: Threshold
     return (
         inventory.where(F.col("sku_id").isNotNull())
         .groupBy("sku_id")
-        .agg(mean(F.count_if("instock_flag"), F.count("instock_flag")).alias("rate"))
+        .agg(mean(days_with(inventory, "instock_flag"), days_with(inventory, F.col("instock_flag").isNotNull())).alias("rate"))
         .join(_named(products, "slg_target"), "sku_id")
         .where(rate < target - t.slg_breach_pct)
         .select(
@@ -201,10 +202,10 @@ def detect_alerts(star: Star, t: Thresholds = Thresholds(), as_of: Column | None
     The last day is a one-value subquery. Date filters name the partition column of stored facts
     too, so only the months of the window are read.
     """
-    today = last_day(star.inventory)
+    today = last_day(star.stock)
     cutoff = F.date_sub(today, t.lookback_days)
-    inventory = since(star.inventory, cutoff)
-    last = on_day(star.inventory, today)
+    inventory = since(star.stock, cutoff)
+    last = on_day(star.stock, today)
     found = [
         stockout_alerts(inventory, star.products, t, consecutive),
         low_stock_alerts(last, star.products, t),

@@ -21,7 +21,7 @@ def _flag(condition: Column) -> Column:
 
 
 def _sku_exceptions(star: Star, *columns: str) -> DataFrame:
-    return with_products(inventory_by_sku(star.inventory), star.products, "slg_target", *columns).withColumn(
+    return with_products(inventory_by_sku(star.stock), star.products, "slg_target", *columns).withColumn(
         "instock_rate", percent("instock_days", "stock_rows")
     )
 

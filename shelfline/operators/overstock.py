@@ -39,7 +39,7 @@ def overstock_by_sku(star: Star) -> DataFrame:
 
 def overstock_by_category(star: Star) -> DataFrame:
     return (
-        with_products(inventory_by_sku(star.inventory), star.products, "category")
+        with_products(inventory_by_sku(star.stock), star.products, "category")
         .groupBy("category")
         .agg(
             # One row per SKU at this point, so a plain count is the distinct count.
@@ -76,7 +76,7 @@ def excess_weeks_of_supply(star: Star, weeks: float = 8, top: int = 30) -> DataF
 
 def overstock_by_month(star: Star) -> DataFrame:
     return (
-        inventory_by(star.inventory, month_of("date").alias("month"))
+        inventory_by(star.stock, month_of("date").alias("month"))
         .select(
             "month",
             F.col("overstock_days").alias("overstock_events"),

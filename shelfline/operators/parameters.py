@@ -59,7 +59,7 @@ def minmax_evaluation(star: Star) -> DataFrame:
     )
     return (
         with_products(
-            inventory_by_sku(star.inventory), star.products,
+            inventory_by_sku(star.stock), star.products,
             "product_name", "category", "min_order_qty", "max_stock_level", "safety_stock",
         )
         .join(sales_by_sku(star.sales), "sku_id", "left")
@@ -78,7 +78,7 @@ def minmax_evaluation(star: Star) -> DataFrame:
 def order_policy_effectiveness(star: Star) -> DataFrame:
     rows = F.sum(joined_rows("stock_rows"))
     return (
-        with_products(inventory_by_sku(star.inventory), star.products, "order_policy")
+        with_products(inventory_by_sku(star.stock), star.products, "order_policy")
         .groupBy("order_policy")
         .agg(
             F.count("sku_id").alias("sku_count"),
@@ -95,7 +95,7 @@ def parameters_to_adjust(star: Star) -> DataFrame:
     too_empty = F.col("stockout_days") > labels.HIGH_STOCKOUT_DAYS
     too_full = F.col("overstock_days") > labels.HIGH_OVERSTOCK_DAYS
     return (
-        with_products(inventory_by_sku(star.inventory), star.products, "product_name", "category", "order_policy")
+        with_products(inventory_by_sku(star.stock), star.products, "product_name", "category", "order_policy")
         .where(too_empty | too_full)
         .select(
             "sku_id", "product_name", "category", "order_policy",

@@ -13,7 +13,7 @@ from shelfline.star import Star
 
 def _sku_rates(star: Star) -> DataFrame:
     return with_products(
-        inventory_by_sku(star.inventory), star.products, "product_name", "category", "slg_target", how="inner"
+        inventory_by_sku(star.stock), star.products, "product_name", "category", "slg_target", how="inner"
     ).withColumns(
         {
             "instock_rate_pct": percent("instock_days", "stock_rows"),
@@ -39,7 +39,7 @@ def instock_by_sku(star: Star) -> DataFrame:
 
 def instock_by_category(star: Star) -> DataFrame:
     return (
-        with_products(inventory_by_sku(star.inventory), star.products, "category", how="inner")
+        with_products(inventory_by_sku(star.stock), star.products, "category", how="inner")
         .groupBy("category")
         .agg(F.sum("stock_rows").alias("total_days"), F.sum("instock_days").alias("instock_days"))
         .withColumn("instock_rate_pct", percent("instock_days", "total_days"))
@@ -49,7 +49,7 @@ def instock_by_category(star: Star) -> DataFrame:
 
 def instock_by_month(star: Star) -> DataFrame:
     return (
-        inventory_by(star.inventory, month_of("date").alias("month"))
+        inventory_by(star.stock, month_of("date").alias("month"))
         .select(
             "month", F.col("stock_rows").alias("total_days"), "instock_days",
             percent("instock_days", "stock_rows").alias("instock_rate_pct"),

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline import labels
-from shelfline.functions.numeric import flag_count, mean, percent
-from shelfline.plans.facts import inventory_by_sku, month_of, with_products
+from shelfline.functions.dates import weight
+from shelfline.functions.numeric import mean, percent
+from shelfline.plans.facts import days_in, days_with, inventory_by_sku, month_of, with_products
 from shelfline.star import Star
 
 
@@ -15,7 +16,7 @@ def stockout_by_sku(star: Star) -> DataFrame:
     allowed = (1 - F.col("slg_target")) * 100
     return (
         with_products(
-            inventory_by_sku(star.inventory), star.products,
+            inventory_by_sku(star.stock), star.products,
             "product_name", "category", "supplier_id", "slg_target", how="inner",
         )
         .withColumn("stockout_rate_pct", percent("stockout_days", "stock_rows"))
@@ -33,11 +34,11 @@ def stockout_by_sku(star: Star) -> DataFrame:
 
 def stockout_by_month(star: Star) -> DataFrame:
     return (
-        star.inventory.groupBy(month_of("date").alias("month"))
+        star.stock.groupBy(month_of("date").alias("month"))
         .agg(
             F.count_distinct("sku_id").alias("total_skus"),
-            flag_count("stockout_flag").alias("stockout_events"),
-            F.count(F.lit(1)).alias("total_sku_days"),
+            days_with(star.stock, "stockout_flag").alias("stockout_events"),
+            days_in(star.stock).alias("total_sku_days"),
         )
         .withColumn("stockout_rate_pct", percent("stockout_events", "total_sku_days"))
         .orderBy(F.asc_nulls_last("month"))
@@ -46,7 +47,7 @@ def stockout_by_month(star: Star) -> DataFrame:
 
 def stockout_by_category(star: Star) -> DataFrame:
     return (
-        with_products(inventory_by_sku(star.inventory), star.products, "category", how="inner")
+        with_products(inventory_by_sku(star.stock), star.products, "category", how="inner")
         .groupBy("category")
         .agg(
             F.count("sku_id").alias("sku_count"),
@@ -62,6 +63,10 @@ def _bit(number: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), number)
 
 
+def _bits(first: Column, count: Column) -> Column:
+    return F.call_function("shiftleft", _bit(count) - 1, first)
+
+
 def stockout_runs(inventory: DataFrame) -> DataFrame:
     """Unbroken runs of stock-out days per SKU: ``(sku_id, stockout_start, stockout_end, consecutive_days)``.
 
@@ -71,9 +76,10 @@ def stockout_runs(inventory: DataFrame) -> DataFrame:
     joined by the days with stock before each month, so a run may go on over any number of months.
     """
     out, month, day = F.col("stockout_flag"), month_of("date").alias("month"), F.coalesce(F.dayofmonth("date"), F.lit(0))
+    days = weight(inventory)
     months = inventory.groupBy("sku_id", month).agg(
-        F.coalesce(F.bit_or(F.when(~out, _bit(day))), F.lit(0).cast("long")).alias("stocked"),
-        F.collect_list(F.when(out, day.cast("byte"))).alias("empty"),
+        F.coalesce(F.bit_or(F.when(~out, _bits(day, days))), F.lit(0).cast("long")).alias("stocked"),
+        F.flatten(F.collect_list(F.when(out, F.sequence(day, day + days - 1)))).alias("empty"),
     )
     earlier = Window.partitionBy("sku_id").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
     placed = months.withColumn("before", F.coalesce(F.sum(F.bit_count("stocked")).over(earlier), F.lit(0)))
@@ -89,7 +95,7 @@ def stockout_runs(inventory: DataFrame) -> DataFrame:
 
 
 def longest_stockouts(star: Star, min_days: int = 3, top: int = 50) -> DataFrame:
-    runs = stockout_runs(star.inventory).where(F.col("consecutive_days") >= min_days)
+    runs = stockout_runs(star.stock).where(F.col("consecutive_days") >= min_days)
     return (
         runs.join(star.products.select("sku_id", "product_name", "category"), "sku_id")
         .select("sku_id", "product_name", "category", "stockout_start", "stockout_end", "consecutive_days")
@@ -101,9 +107,9 @@ def longest_stockouts(star: Star, min_days: int = 3, top: int = 50) -> DataFrame
 def mean_stockout_days(star: Star) -> DataFrame:
     """Mean days without stock per SKU by category, counting days with exactly nothing on hand."""
     per_sku = (
-        star.inventory.where(F.col("sku_id").isNotNull())
+        star.stock.where(F.col("sku_id").isNotNull())
         .groupBy("sku_id")
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("on_hand_qty") == 0).alias("days_out"))
+        .agg(days_in(star.stock).alias("rows"), days_with(star.stock, F.col("on_hand_qty") == 0).alias("days_out"))
     )
     return (
         with_products(per_sku, star.products, "category", how="inner")

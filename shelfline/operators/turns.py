@@ -20,11 +20,11 @@ from shelfline.star import Star
 
 def _measures(star: Star, mode: str, how: str = "left") -> DataFrame:
     if mode == "all_pairs":
-        return all_pairs_measures(star.inventory, star.sales, how)
+        return all_pairs_measures(star.stock, star.sales, how)
     if mode != "grain_safe":
         raise ValueError(f"unknown mode {mode!r}: use 'all_pairs' or 'grain_safe'")
     joined = sales_by_sku(star.sales).join(
-        inventory_by_sku(star.inventory), "sku_id", "full" if how == "left" else "inner"
+        inventory_by_sku(star.stock), "sku_id", "full" if how == "left" else "inner"
     )
     return joined.select(
         "sku_id",

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
+from shelfline.functions.dates import DAYS, each_day, weight
 from shelfline.functions.numeric import flag_count, moments, wide
 from shelfline.star import Star
 
@@ -19,20 +21,40 @@ def month_of(day: str) -> Column:
     return F.trunc(day, "MM")
 
 
-def _inventory_measures() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("stock_rows"),
-        flag_count("instock_flag").alias("instock_days"),
-        flag_count("stockout_flag").alias("stockout_days"),
-        flag_count("overstock_flag").alias("overstock_days"),
-        F.sum("on_hand_qty").alias("on_hand_sum"),
-        F.count("on_hand_qty").alias("on_hand_n"),
-        F.sum("carrying_cost_daily").alias("carrying_cost"),
-    ]
+def days_in(df: DataFrame) -> Column:
+    """The number of days that the rows of a group stand for."""
+    return F.coalesce(F.sum(weight(df).cast("long")), F.lit(0)) if DAYS in df.columns else F.count(F.lit(1))
+
+
+def days_with(df: DataFrame, condition: Column | str) -> Column:
+    """The days of a group's rows on which a condition is true (0, never NULL)."""
+    if DAYS not in df.columns:
+        return flag_count(condition)
+    true = F.col(condition) if isinstance(condition, str) else condition
+    return F.coalesce(F.sum(F.when(true, weight(df).cast("long"))), F.lit(0))
+
+
+def sum_over_days(df: DataFrame, column: str) -> Column:
+    """The sum of a daily column; whole numbers as longs, decimals with as many digits as a plain sum."""
+    if DAYS not in df.columns:
+        return F.sum(column)
+    kind = df.schema[column].dataType
+    if isinstance(kind, DecimalType):
+        total = f"decimal({min(38, kind.precision + 10)},{kind.scale})"
+        return F.sum((F.col(column) * weight(df)).cast(f"decimal({min(28, kind.precision + 4)},{kind.scale})")).cast(total)
+    return F.sum(F.col(column).cast("long") * weight(df))
 
 
 def inventory_by(inventory: DataFrame, *keys: Column | str) -> DataFrame:
-    return inventory.groupBy(*keys).agg(*_inventory_measures())
+    return inventory.groupBy(*keys).agg(
+        days_in(inventory).alias("stock_rows"),
+        days_with(inventory, "instock_flag").alias("instock_days"),
+        days_with(inventory, "stockout_flag").alias("stockout_days"),
+        days_with(inventory, "overstock_flag").alias("overstock_days"),
+        sum_over_days(inventory, "on_hand_qty").alias("on_hand_sum"),
+        days_with(inventory, F.col("on_hand_qty").isNotNull()).alias("on_hand_n"),
+        sum_over_days(inventory, "carrying_cost_daily").alias("carrying_cost"),
+    )
 
 
 def inventory_by_sku(inventory: DataFrame) -> DataFrame:
@@ -82,7 +104,10 @@ def stock_with_day_sales(star: Star) -> DataFrame:
     stock = star.inventory.where(F.col("sku_id").isNotNull())
     if star.sales_of_sku is None:
         return stock.join(sales_by(star.sales, "sku_id", "date"), ["sku_id", "date"], "left")
-    looked_up = stock.join(star.sales_of_sku, "sku_id", "left").withColumn("day", F.try_element_at("by_day", F.col("date"))).drop("by_day")
+    with_map = star.stock.where(F.col("sku_id").isNotNull()).join(star.sales_of_sku, "sku_id", "left")
+    if DAYS in with_map.columns:
+        with_map = each_day(with_map)
+    looked_up = with_map.withColumn("day", F.try_element_at("by_day", F.col("date"))).drop("by_day")
     return looked_up.select("*", "day.*").drop("day")
 
 
