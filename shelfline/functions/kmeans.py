@@ -57,10 +57,29 @@ def _points(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("units").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
 
 
+def _exact(x: np.ndarray, terms: int) -> bool:
+    """Whether doubles hold every sum of ``terms`` products of the coordinates exactly."""
+    return len(x) > 0 and 4.0 * terms * float(np.abs(x).max()) ** 2 < 2.0**53
+
+
 def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances to all centres. Where all products are exact in doubles, they come from a
+    matrix product, which gives the same numbers as the differences."""
+    if _exact(x, x.shape[1]) and _exact(centres, x.shape[1]):
+        a, b = x.astype(float), centres.astype(float)
+        return (a * a).sum(axis=1)[:, None] - 2 * (a @ b.T) + (b * b).sum(axis=1)
     return np.stack([((x - c).astype(float) ** 2).sum(axis=1) for c in centres], axis=1)
 
 
+def _added(x: np.ndarray, own: np.ndarray, count: int) -> np.ndarray:
+    """The rows of each centre added up, as whole numbers."""
+    if float(np.abs(x).max()) * len(x) < 2.0**53:
+        return np.stack([np.bincount(own, column, count) for column in x.T.astype(float)], axis=1).astype(np.int64)
+    total = np.zeros((count, x.shape[1]), np.int64)
+    np.add.at(total, own, x)
+    return total
+
+
 def _chance(place: np.ndarray, seed: int, step: int) -> np.ndarray:
     """A number between 0 and 1 for each row, from its hash: the same wherever the row is."""
     golden = 0x9E3779B97F4A7C15
@@ -109,7 +128,7 @@ def _sums(centres: dict[int, np.ndarray]):
                 n, cost, total = totals[fit]
                 n += np.bincount(own, minlength=len(found))
                 cost += np.bincount(own, apart[np.arange(len(x)), own], len(found))
-                np.add.at(total, own, x)
+                total += _added(x, own, len(found))
         rows = [
             (fit, c, int(n[c]), float(cost[c]), total[c].tolist()) for fit, (n, cost, total) in totals.items() for c in range(len(n)) if n[c]
         ]
