@@ -104,7 +104,7 @@ def stock_with_day_sales(star: Star) -> DataFrame:
     stock = star.inventory.where(F.col("sku_id").isNotNull())
     if star.sales_of_sku is None:
         return stock.join(sales_by(star.sales, "sku_id", "date"), ["sku_id", "date"], "left")
-    with_map = star.stock.where(F.col("sku_id").isNotNull()).join(star.sales_of_sku, "sku_id", "left")
+    with_map = star.stock.where(F.col("sku_id").isNotNull()).join(star.sales_of_sku(), "sku_id", "left")
     if DAYS in with_map.columns:
         with_map = each_day(with_map)
     looked_up = with_map.withColumn("day", F.try_element_at("by_day", F.col("date"))).drop("by_day")

@@ -90,3 +90,62 @@ def test_ledger_is_written_by_the_tasks_that_make_it(spark, stars):
     assert back.select(F.input_file_name()).distinct().count() == 3  # one task, three months
     with_new_rows = star.with_derived(inventory=plain.inventory.limit(1))
     assert with_new_rows.stock.count() == 1 and with_new_rows.buckets is None
+
+
+@pytest.mark.parametrize("name", ["daily_health", "daily_instock_by_category"])
+def test_daily_reports_are_made_of_spans(stars, name):
+    """The same rows and types as from the days, and no day is made of a span before it is added up."""
+    got, wanted = (catalogue.STOCK_REPORTS[name](star) for star in stars)
+    assert got.dtypes == wanted.dtypes
+    assert text(got) == text(wanted) and wanted.count()
+    explodes = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Generate explode" in line]
+    assert len(explodes) == 1, explodes
+
+
+def test_sales_of_a_sku_are_stored_when_asked_for(stars, monkeypatch):
+    """Reports on stock alone neither add up nor write the sales per SKU."""
+    written = []
+    write = sinks.write_buckets
+    monkeypatch.setattr(sinks, "write_buckets", lambda df, path, *a, **k: written.append(path.split("/")[-1]) or write(df, path, *a, **k))
+    star = sinks.store_by_sku(stars[0], new_folder(stars[0].products.sparkSession, "test"))
+    catalogue.STOCK_REPORTS["kpi_summary"](star).collect()
+    assert "sales_of_sku" not in written
+    for _ in range(2):
+        catalogue.STOCK_REPORTS["overstock_by_sku"](star).collect()
+    assert written.count("sales_of_sku") == 1
+
+
+def test_calendar_of_receipts_is_made_after_it_is_dealt_out(spark):
+    """Receipts as one row per SKU with its days give the ledger of the same receipts by day."""
+    listed = table(spark, schemas.PRODUCTS, [product("a"), product("b"), product("c")])
+    sold = table(spark, schemas.SALES, [sale("a", 0, 30), sale("a", 9, 4), sale("b", 40, 60)])
+    packed = spark.createDataFrame(
+        [("a", 7, [day(3), day(31)]), ("b", 9, [day(0)]), ("b", 2, [day(40)]), ("c", 1, [])], "sku_id string, received int, dates array<date>"
+    )
+    by_day = packed.select("sku_id", F.explode("dates").alias("date"), "received")
+    assert text(ledger.build_spans(listed, sold, packed)) == text(ledger.build_spans(listed, sold, by_day))
+    bounds = ledger.sales_bounds(sold)
+    assert text(ledger.demand_on_calendar(listed, sold, bounds)) == text(ledger.demand_on_calendar(listed, sold))
+
+
+def test_calendar_tasks_stay_in_memory():
+    """At 60 times sf0.1 a stored bucket, or a task of the demand by day, holds at most eight million SKU-days."""
+    bounds = (day(0), day(2498))
+    tasks = ledger.calendar_tasks(1_200_000, bounds, ledger.IN_MEMORY)
+    assert 1_200_000 * 2499 / tasks <= 8_000_000
+
+
+def test_measures_are_made_of_the_stored_levels(stars):
+    """Days of supply and cost are not stored, and are the same as in the ledger by day."""
+    plain = stars[1]
+    receipts = plain.products.sparkSession.createDataFrame([("k0", 9, [day(3)])], "sku_id string, received int, dates array<date>")
+    levels = ledger.build_levels(plain.products, plain.sales, receipts, tasks=3)
+    spans = ledger.with_measures(levels)
+    star = plain.with_derived(inventory=dates.each_day(spans), spans=spans, levels=levels, buckets=3)
+    stored = sinks.store_by_sku(star, new_folder(levels.sparkSession, "test"))
+    assert stored.spans.dtypes == spans.dtypes and text(stored.spans) == text(spans)
+    plan = stored.spans._jdf.queryExecution().optimizedPlan().toString()
+    names = " ".join(line for line in plan.split("\n") if "Relation" in line)
+    assert "on_hand_qty" in names and "carrying_cost_daily" not in names and "days_of_supply" not in names
+    assert text(stored.inventory) == text(star.inventory)
+    assert plain.with_derived(inventory=plain.inventory).levels is None
