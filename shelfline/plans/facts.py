@@ -8,6 +8,8 @@ a report does not use are pruned by the optimizer.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -17,6 +19,10 @@ from shelfline.functions.numeric import flag_count, moments, wide
 from shelfline.star import Star
 
 
+SHORT = 12  # digits of a decimal that times a number of days is within a long
+PART = 1_000_000
+
+
 def month_of(day: str) -> Column:
     return F.trunc(day, "MM")
 
@@ -40,11 +46,25 @@ def sum_over_days(df: DataFrame, column: str) -> Column:
         return F.sum(column)
     kind = df.schema[column].dataType
     if isinstance(kind, DecimalType):
-        total = f"decimal({min(38, kind.precision + 10)},{kind.scale})"
-        return F.sum((F.col(column) * weight(df)).cast(f"decimal({min(28, kind.precision + 4)},{kind.scale})")).cast(total)
+        return _times(column, kind, weight(df)).cast(f"decimal({min(38, kind.precision + 10)},{kind.scale})")
     return F.sum(F.col(column).cast("long") * weight(df))
 
 
+def _times(column: str, kind: DecimalType, rows: Column) -> Column:
+    """The exact sum of a decimal column, every value counted ``rows`` times. Short decimals are added up as
+    whole numbers of their last digit, in two parts that fit longs."""
+    if kind.precision > SHORT:
+        return F.sum((F.col(column) * rows).cast(f"decimal({min(28, kind.precision + 4)},{kind.scale})"))
+    units = (F.col(column) * 10**kind.scale).cast("long") * rows.cast("long")
+    return in_parts(F.call_function("div", units, F.lit(PART)), units % PART, kind.scale)
+
+
+def in_parts(high: Column, low: Column, scale: int) -> Column:
+    """The sum of ``high * PART + low``, longs, as a decimal of that many units of its last digit."""
+    whole = F.sum(high).cast("decimal(22,0)") * PART + F.sum(low).cast("decimal(20,0)")
+    return whole.cast("decimal(30,0)") * F.lit(Decimal(1).scaleb(-scale))
+
+
 def inventory_by(inventory: DataFrame, *keys: Column | str) -> DataFrame:
     return inventory.groupBy(*keys).agg(
         days_in(inventory).alias("stock_rows"),
@@ -118,8 +138,11 @@ def stock_and_sales_by_sku(star: Star) -> DataFrame:
     measure is weighted by the number of matching rows on the other side, which is what the
     plain row-by-row join would have counted. Where the star carries stored sales of each SKU, a
     stock row looks its day up there: both tables are bucketed on SKU, so neither is shuffled.
-    Otherwise both are shuffled on SKU and day, which spreads one SKU's rows over all tasks.
+    Otherwise both are shuffled on SKU and day, which spreads one SKU's rows over all tasks. Spans that
+    are cut at sales are not made into days: only their first day can have any.
     """
+    if star.cut_at_sales and star.spans is not None and star.sales_of_sku is not None:
+        return _spans_and_sales_by_sku(star)
     joined = stock_with_day_sales(star)
     copies = F.coalesce("sales_rows", F.lit(1))
     stock = F.col("on_hand_qty")
@@ -138,6 +161,27 @@ def stock_and_sales_by_sku(star: Star) -> DataFrame:
     )
 
 
+def _spans_and_sales_by_sku(star: Star) -> DataFrame:
+    spans = star.spans.where(F.col("sku_id").isNotNull()).join(star.sales_of_sku(), "sku_id", "left")
+    joined = spans.withColumn("day", F.try_element_at("by_day", F.col("date"))).drop("by_day").select("*", "day.*")
+    # The rows of the plain join: those of the first day's sales, and one on each of the other days.
+    joined = joined.withColumn("rows", F.coalesce("sales_rows", F.lit(1)) + F.col(DAYS) - 1)
+    rows, stock = F.col("rows"), F.col("on_hand_qty")
+    return joined.groupBy("sku_id").agg(
+        F.sum(rows).alias("stock_rows"),
+        F.sum(F.when(F.col("instock_flag"), rows).otherwise(0)).alias("instock_days"),
+        F.sum(F.when(F.col("stockout_flag"), rows).otherwise(0)).alias("stockout_days"),
+        F.sum(F.when(F.col("overstock_flag"), rows).otherwise(0)).alias("overstock_days"),
+        F.sum(stock * rows).alias("on_hand_sum"),
+        F.sum(F.when(stock.isNotNull(), rows).otherwise(0)).alias("on_hand_n"),
+        _times("carrying_cost_daily", star.spans.schema["carrying_cost_daily"].dataType, rows).cast("decimal(38,2)").alias("carrying_cost"),
+        F.sum("units_sum").alias("units_sum"),
+        F.coalesce(F.sum("units_n"), F.lit(0)).alias("units_n"),
+        F.sum("units_squares").alias("units_squares"),
+        F.sum("revenue_sum").alias("revenue_sum"),
+    )
+
+
 def all_pairs_measures(inventory: DataFrame, sales: DataFrame, how: str) -> DataFrame:
     """Per SKU, the measures of sales joined to inventory on SKU alone, without the join.
 
