@@ -212,7 +212,7 @@ def levels_of(series: DataFrame) -> DataFrame:
             (F.col("on_hand_qty") > F.col("max_stock_level")).alias("overstock_flag"),
             "safety_stock",
             "reorder_point",
-            (F.col("on_hand_qty") > 0).alias("instock_flag"),
+            (~F.col("stockout_flag")).alias("instock_flag"),  # stock is never below zero
             "unit_price",
             DAYS,
         )
